@@ -14,5 +14,8 @@ def spark():
     session = local_session("tests", cpus=8, partitions=4)
     session.sparkContext.setLogLevel("ERROR")
     ship_package(session)
+    # Plug-ins of the tests have to be importable in the workers too.
+    for name in ("helpers.py", "test_jobs.py"):
+        session.sparkContext.addPyFile(os.path.join(ROOT, "tests", name))
     yield session
     session.stop()

@@ -1,0 +1,188 @@
+"""Whole jobs over small shards: specification runs, captioning, intake."""
+
+import json
+import os
+import tarfile
+
+import numpy as np
+import pandas as pd
+import pytest
+
+from helpers import ppm, read_ppm, sample, solid, write_tar
+from tarweave.plans.captioning import caption_shards, prompt_for
+from tarweave.plans.spec import load_spec, run_spec
+from tarweave.streaming.intake import process_new_shards
+
+
+@pytest.fixture
+def data(tmp_path):
+    """Two shards: good, monochrome, broken, image-less and metadata-less samples; one without survivors."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    entries = [("__meta__/index.json", b"{}")]
+    for i in range(7):
+        entries += sample(f"a{i}", solid(i, 0.1), {"url": f"http://x/{i}", "caption": f"c{i}", "key": "other"}, txt=b"t")
+    entries += sample("mono", solid(50, 1.0), {"caption": "m"})
+    entries += sample("edge", solid(51, 0.8), {"caption": "e"})
+    entries += sample("bad", b"no image at all", {"caption": "b"})
+    entries += sample("badjson", solid(2, 0.1), b"{not json")
+    entries += sample("nometa", solid(3, 0.1))
+    entries += sample("noimage", None, {"caption": "n"}, txt=b"t")
+    write_tar(folder, "00000.tar", entries)
+    write_tar(folder, "00001.tar", sample("z", solid(60, 1.0), {"caption": "z"}))
+    write_tar(folder, "empty.tar", [])
+    (folder / "00002.tar").write_bytes(b"this is not a tar file" * 100)
+    return str(folder)
+
+
+def spec(data, tmp_path, **more):
+    return {"data_path": data, "output_dir": str(tmp_path / "out"), "batch_size": 4, "num_workers": 1,
+            "meta_key": "info.json", "img_key": "png", **more}
+
+
+MONO = [{"type": "mono", "threshold": 0.8, "is_monochromatic": False}]
+
+
+def test_filtered_run_and_resume(spark, data, tmp_path):
+    config = spec(data, tmp_path, filter_functions=MONO, txt_key="caption", save_tar=True, make_visualization=True)
+    out = run_spec(spark, config, decode=read_ppm)
+    rows = {(r.shard, r.key): (r.txt, r.batch_id) for r in out.rows.collect()}
+    expected = [f"a{i}" for i in range(7)] + ["edge"]
+    assert rows == {("00000", k): ("e" if k == "edge" else "c" + k[1:], i // 4) for i, k in enumerate(expected)}
+    assert {(r.key, r.error.split(":")[0]) for r in out.rejects.collect()} == {
+        ("bad", "ValueError"), ("badjson", "metadata is not JSON")}
+    counts = {r.shard: (r.rows_in, r.rows_out) for r in out.counts.collect()}
+    assert counts == {"00000": (13, 8), "00001": (1, 0), "empty": (0, 0), "00002": (0, 0)}
+    assert out.seen == {"samples": 12, "failed": 2, "kept": 8}
+    assert [(r.caption, r.grid_row, r.grid_col) for r in out.preview.orderBy("pos").collect()] == [
+        ("a0", 0, 0), ("a1", 0, 1), ("a2", 0, 2), ("a3", 0, 3)]
+
+    with tarfile.open(os.path.join(config["output_dir"], "00000.tar")) as archive:
+        names = archive.getnames()
+        assert names[:3] == ["a0.info.json", "a0.png", "a0.txt"] and len(names) == 7 * 3 + 2
+        assert archive.extractfile("a3.png").read() == ppm(solid(3, 0.1))
+
+    again = run_spec(spark, config, decode=read_ppm)
+    assert again.seen["samples"] == 0 and again.rows.count() == 8
+    write_tar(data, "00003.tar", sample("new", solid(4, 0.1), {"caption": "new"}))
+    third = run_spec(spark, config, decode=read_ppm)
+    assert third.seen["samples"] == 1 and third.rows.count() == 9
+
+
+def test_tail_debug_and_limit(spark, data, tmp_path):
+    config = spec(data, tmp_path / "a", filter_functions=MONO)
+    assert run_spec(spark, config, decode=read_ppm, keep_partial=False).rows.count() == 8
+    config = spec(data, tmp_path / "b", batch_size=5)
+    assert run_spec(spark, config, decode=read_ppm, keep_partial=False, limit=1).rows.count() == 5
+    config = spec(data, tmp_path / "c")
+    assert run_spec(spark, config, decode=read_ppm, debug=True, limit=1).rows.count() == 4
+    assert run_spec(spark, spec(data, tmp_path / "d"), limit=0).counts.count() == 0
+
+
+def test_mapper_adds_fields_to_tars(spark, data, tmp_path):
+    meta = tmp_path / "meta"
+    meta.mkdir()
+    pd.DataFrame({"key": ["a0", "a1", "a0", "a2"], "txt": ["old", "one", "zero", None]}).to_parquet(meta / "00000.parquet")
+    mapper = {"type": "add_fields", "input_key": "txt", "output_key": "short", "metadata_path": str(meta)}
+    config = spec(data, tmp_path, mapper_functions=[mapper], save_tar=True)
+    out = run_spec(spark, config, limit=1)
+    assert sorted(r.key for r in out.rows.collect()) == ["a0", "a1", "a2"]
+    with tarfile.open(os.path.join(config["output_dir"], "00000.tar")) as archive:
+        texts = {n: archive.extractfile(n).read() for n in archive.getnames() if n.endswith(".short")}
+    assert texts == {"a0.short": b"zero", "a1.short": b"one"}
+
+
+def test_spec_files_and_their_errors(tmp_path):
+    path = tmp_path / "spec.yaml"
+    path.write_text("data_path: /x\noutput_dir: /y\nbatch_size: 32\nnum_workers: 4\nmeta_key: info.json\nimg_key: png\n"
+                    "filter_functions:\n  - type: mono\n    threshold: 0.8\n    is_monochromatic: False\n")
+    loaded = load_spec(str(path))
+    assert (loaded.batch_size, loaded.num_workers, loaded.meta_key, len(loaded.filter_functions)) == (32, 4, "info.json", 1)
+    base = {"data_path": "/x", "batch_size": 1, "num_workers": 1, "meta_key": "j", "img_key": "png"}
+    with pytest.raises(TypeError):
+        load_spec({**base, "colour": 1})
+    with pytest.raises(ValueError):
+        load_spec({**base, "filter_functions": [{"type": "blur"}]})
+    with pytest.raises(ValueError):
+        load_spec({**base, "mapper_functions": [{"type": "nothing"}]})
+
+
+def make_model(params):
+    def model(prompts, images):
+        return [f" <b>{p}|{'none' if images is None else images[i].shape[0]}|{params['max_tokens']}</b>"
+                for i, p in enumerate(prompts)]
+
+    return model
+
+
+def test_captions_with_provenance(spark, data, tmp_path):
+    model = "hub/deepseek-ai/deepseek-vl2-tiny"
+    out = caption_shards(spark, model, data, "Say it", make_model, output_dir=str(tmp_path / "out"), decode=read_ppm,
+                         max_tokens=15)
+    rows = {r.key: r for r in out.rows.collect()}
+    assert sorted(rows) == sorted([f"a{i}" for i in range(7)] + ["mono", "edge", "z"])
+    prompt = "<|User|>: <image>\nSay it\n\n<|Assistant|>:"
+    a0 = rows["a0"]
+    assert (a0.prompt, a0.source_url, a0.shard) == (prompt, "http://x/0", "00000")
+    assert a0.url.endswith("/00000.tar")
+    assert a0.txt == " |User|: \nSay it\n\n|10|15" or a0.txt.endswith("|10|15")
+    assert {r.key for r in out.rejects.collect()} == {"bad", "badjson"}
+
+
+def test_text_only_and_metadata_precedence(spark, data, tmp_path):
+    kwargs = dict(language_only=True, language_only_key="caption", max_model_len=9)
+    out = caption_shards(spark, "m", data, "{{x}} {txt}!!", make_model, output_dir=str(tmp_path / "o"), limit=1, **kwargs)
+    rows = {r.key: (r.prompt, r.txt) for r in out.rows.collect()}
+    assert rows["a3"] == ("{x} c3!!", " {x} c3!!|none|128")
+    assert "bad" in rows, "text-only use does not look at the image"
+    with pytest.raises(ValueError):
+        caption_shards(spark, "m", data, "p", make_model, backend="open_clip", **kwargs)
+
+
+def test_scores_of_the_first_batch(spark, data, tmp_path):
+    def encode_image():
+        return lambda data, h, w, c: np.stack([np.frombuffer(d, np.uint8)[:4].astype(float) + 1 for d in data])
+
+    def encode_text():
+        return lambda txt: np.stack([[len(t), 1.0, 2.0, 3.0 + i] for i, t in enumerate(txt)])
+
+    out = caption_shards(spark, "m", data, "p", make_model, output_dir=str(tmp_path / "o"), decode=read_ppm,
+                         batch_size=4, image_encoder=encode_image, text_encoder=encode_text, debug=True)
+    scores = out.scores.collect()
+    assert len([s for s in scores if s.shard == "00000"]) == 4 and all(0 < s.clip_score <= 1 for s in scores)
+    assert out.average.count() == 2
+
+
+def test_failing_model_is_retried_then_reported(spark, data, tmp_path):
+    def broken(params):
+        def model(prompts, images):
+            raise RuntimeError("out of memory")
+
+        return model
+
+    out = caption_shards(spark, "broken", data, "p", broken, output_dir=str(tmp_path / "o"), limit=1, wait=0.0)
+    assert out.rows.count() == 0
+    assert {r.error for r in out.rejects.where("key = 'a1'").collect()} == {"RuntimeError: out of memory"}
+
+
+def test_intake_takes_each_shard_once(spark, tmp_path):
+    folder, checkpoint = tmp_path / "in", str(tmp_path / "check")
+    folder.mkdir()
+    for i in range(3):
+        write_tar(folder, f"s{i}.tar", sample(f"k{i}", solid(i, 0.1), {"i": i}))
+    taken = []
+
+    def process(shards):
+        out = run_spec(spark, spec(str(folder), tmp_path), shards=shards)
+        taken.append((sorted(r.shard for r in shards.collect()), out.rows.count()))
+
+    process_new_shards(spark, str(folder), checkpoint, process).awaitTermination()
+    write_tar(folder, "s9.tar", sample("k9", solid(9, 0.1), {"i": 9}))
+    process_new_shards(spark, str(folder), checkpoint, process).awaitTermination()
+    assert taken == [(["s0", "s1", "s2"], 3), (["s9"], 4)]
+
+
+def test_model_prompt_shapes():
+    assert prompt_for("google/paligemma2-3b-pt-448", "anything") == "caption en"
+    assert prompt_for("unknown", "q") == "q" and prompt_for("x/microsoft/Phi-3.5-vision-instruct", "q", "open_clip") == "q"
+    assert json.dumps(prompt_for("OpenGVLab/InternVL2_5-1B", "q")) == '"Image: <image>\\nCaption: q\\n\\n"'
