@@ -1,19 +1,37 @@
-"""Extra fields stored as one Parquet file per shard."""
+"""Extra fields of the samples, stored in Parquet per shard."""
 
 from __future__ import annotations
 
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tarweave.session import is_dir
+from tarweave.session import split_uri
 
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
-    """All columns of ``<path>/<shard>.parquet`` plus ``shard`` and row ``pos``."""
-    if not is_dir(path):
+    """All columns plus ``shard`` (text) and ``pos``, the order of the rows.
+
+    Takes one file per shard (``<shard>.parquet``) or the folders this
+    package's own sinks write (``shard=<shard>/``). ``pos`` is the row's place
+    in its file unless the data has such a column.
+    """
+    fs, inner = split_uri(path)
+    info = fs.get_file_info(inner)
+    if info.type != pafs.FileType.Directory:
         raise FileNotFoundError(f"no metadata folder: {path}")
-    return spark.read.parquet(path).select(
-        F.regexp_replace(F.col("_metadata.file_name"), r"\.parquet$", "").alias("shard"),
-        F.col("_metadata.row_index").alias("pos"),
-        "*",
+    partitioned = any(
+        f.type == pafs.FileType.Directory and f.base_name.startswith("shard=")
+        for f in fs.get_file_info(pafs.FileSelector(inner))
     )
+    rows = spark.read.parquet(path)
+    if partitioned:
+        # Inferred partition values would turn shard 00000 into 0.
+        fields = [T.StructField("shard", T.StringType()) if f.name == "shard" else f for f in rows.schema.fields]
+        rows = spark.read.schema(T.StructType(fields)).parquet(path)
+    else:
+        rows = rows.withColumn("shard", F.regexp_replace(F.col("_metadata.file_name"), r"\.parquet$", ""))
+    if "pos" not in rows.columns:
+        rows = rows.withColumn("pos", F.col("_metadata.row_index"))
+    return rows
