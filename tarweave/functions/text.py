@@ -35,8 +35,12 @@ TEMPLATES = {
 # ``[^\n]`` because Java's dot also stops at other line ends.
 ENTRY_NAME = r"^((?:[^\n]*/|)[^.]+)[.]([^/]*)$"
 
-# Python's notion of white space, which is wider than Java's plain ``\s``.
-_SPACE = r"[\s\x{1c}-\x{1f}]"
+# The characters Python's ``str.strip`` removes.
+WHITE_SPACE = (
+    "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def entry_prefix(fname: Column) -> Column:
@@ -92,7 +96,7 @@ def truncate_prompt(prompt: Column, max_chars: int = 4096) -> Column:
 
 
 def strip_text(text: Column) -> Column:
-    return F.regexp_replace(text, rf"(?U)^{_SPACE}+|{_SPACE}+\z", "")
+    return F.trim(text, F.lit(WHITE_SPACE))
 
 
 def decoded_text(text: Column) -> Column:
@@ -114,8 +118,9 @@ def caption_from_meta(json: Column, txt_key: str | None) -> Column:
 
 def json_field(json: Column, name: str) -> Column:
     """One top-level field as text; null when absent, null or not JSON."""
-    escaped = name.replace("\\", "\\\\").replace("'", "\\'")
-    return F.get_json_object(json, f"$['{escaped}']")
+    if "'" in name:
+        raise ValueError(f"no quotes in metadata fields: {name!r}")
+    return F.get_json_object(json, f"$['{name}']")
 
 
 def has_json_field(json: Column, name: str) -> Column:

@@ -586,17 +586,17 @@ def dominant_share(spark, sf_dir):
     return _images(spark, sf_dir).select("vec_id", F.round(dominance(F.col("image")), 6).alias("dominance"))
 
 
-@query(f"SELECT vec_id FROM ({BINS}) GROUP BY vec_id HAVING max(n) / 64.0 > 0.53125")
+@query(f"SELECT vec_id FROM ({BINS}) GROUP BY vec_id HAVING max(n) / 64.0 > 0.390625")
 def monochrome_filter(spark, sf_dir):
-    """The threshold is one share that images do have: 34 of 64 pixels are not above it."""
+    """The threshold is one share that images do have: 25 of 64 pixels are not above it."""
     share = dominance(F.col("image"))
-    return _images(spark, sf_dir).where(keep_monochrome(share, 34 / 64, True)).select("vec_id")
+    return _images(spark, sf_dir).where(keep_monochrome(share, 25 / 64, True)).select("vec_id")
 
 
-@query(f"SELECT vec_id FROM ({BINS}) GROUP BY vec_id HAVING NOT max(n) / 64.0 > 0.53125")
+@query(f"SELECT vec_id FROM ({BINS}) GROUP BY vec_id HAVING NOT max(n) / 64.0 > 0.390625")
 def colourful_filter(spark, sf_dir):
     share = dominance(F.col("image"))
-    return _images(spark, sf_dir).where(keep_monochrome(share, 34 / 64, False)).select("vec_id")
+    return _images(spark, sf_dir).where(keep_monochrome(share, 25 / 64, False)).select("vec_id")
 
 
 def decode_raw(raw: bytes) -> np.ndarray:
@@ -662,12 +662,12 @@ def generate_from_images(spark, sf_dir):
 
 
 def flaky_model():
-    """Fails on the first try of every batch, and always on prompts about errors."""
+    """Fails on the first try of every batch, and always on prompts of users."""
     state = {"calls": 0}
 
     def model(prompts, images):
         state["calls"] += 1
-        if state["calls"] % 2 == 1 or "error" in prompts:
+        if state["calls"] % 2 == 1 or "user" in prompts:
             raise RuntimeError("no memory")
         return prompts
 
@@ -675,13 +675,13 @@ def flaky_model():
 
 
 @query("""
-    SELECT event_id, CASE WHEN event_type <> 'error' THEN event_type END AS caption,
-           CASE WHEN event_type = 'error' THEN 'RuntimeError: no memory' END AS error
-    FROM events""")
+    SELECT conv_id, turn, CASE WHEN role <> 'user' THEN role END AS caption,
+           CASE WHEN role = 'user' THEN 'RuntimeError: no memory' END AS error
+    FROM conversations""")
 def generate_with_retries(spark, sf_dir):
-    prompts = table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("prompt"))
+    prompts = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("role").alias("prompt"))
     answers = generate_captions(prompts, flaky_model, "flaky", image=None, batch_size=1, wait=0.0)
-    return answers.select("event_id", "caption", F.col("caption_error").alias("error"))
+    return answers.select("conv_id", "turn", "caption", F.col("caption_error").alias("error"))
 
 
 def text_encoder():
@@ -792,7 +792,7 @@ def _vector_notes(spark, sf_dir) -> str:
 
 @query(f"""
     WITH passed AS (
-        SELECT vec_id FROM ({BINS}) GROUP BY vec_id HAVING NOT max(n) / 64.0 > 0.53125),
+        SELECT vec_id FROM ({BINS}) GROUP BY vec_id HAVING NOT max(n) / 64.0 > 0.390625),
     kept AS (
         SELECT e.vec_id, e.label, (row_number() OVER (PARTITION BY e.label ORDER BY e.vec_id) - 1) // 8 AS batch_id,
                count(*) OVER (PARTITION BY e.label) AS n
@@ -809,7 +809,7 @@ def declarative_spec(spark, sf_dir):
         "meta_key": "info.json",
         "img_key": "png",
         "txt_key": "label",
-        "filter_functions": [{"type": "mono", "threshold": 34 / 64, "is_monochromatic": False}],
+        "filter_functions": [{"type": "mono", "threshold": 25 / 64, "is_monochromatic": False}],
         "mapper_functions": [{
             "type": "add_fields", "input_key": "note", "output_key": "note",
             "metadata_path": _vector_notes(spark, sf_dir),

@@ -133,7 +133,9 @@ def run_spec(
     kept = assign_batches(judged.where("passes"), spec.batch_size, keep_partial)
     if debug:
         kept = kept.where("batch_id = 0")
-    kept = stage(kept.withColumn("txt", caption_from_meta(F.col("json"), spec.txt_key)), "kept")
+    kept = kept.withColumn("txt", caption_from_meta(F.col("json"), spec.txt_key))
+    if spec.save_tar or spec.make_visualization:
+        kept = stage(kept, "kept")
 
     rows_path = f"{spec.output_dir.rstrip('/')}/rows"
     write_rows(kept, rows_path, KEY_ROW)
