@@ -45,7 +45,6 @@ from tarweave.sources.captions import add_manifest, completed_shards, read_rows,
 from tarweave.sources.metadata import read_metadata
 from tarweave.sources.tar import (
     FORMAT,
-    extents,
     fetch_parts,
     fetch_tasks,
     index_entries,
@@ -351,7 +350,7 @@ def tar_scan(spark, sf_dir):
 @query("SELECT source AS shard, CAST(doc_id AS VARCHAR) AS key, text, 'image of ' || doc_id AS image FROM documents")
 def tar_roundtrip(spark, sf_dir):
     shards = list_shards(spark, _text_tars(spark, sf_dir))
-    samples = group_samples(extents(named_entries(index_entries(shards))), payload=["offset", "size"])
+    samples = group_samples(named_entries(index_entries(shards)), payload=["offset", "size"])
     return fetch_parts(samples, fetch_tasks(shards), ["txt", "jpg"]).select(
         "shard",
         "key",

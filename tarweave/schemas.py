@@ -12,12 +12,6 @@ ENTRY = T.StructType([
     T.StructField("data", T.BinaryType()),
 ])
 
-# Where the bytes of one part lie inside the shard file.
-EXTENT = T.StructType([
-    T.StructField("offset", T.LongType()),
-    T.StructField("size", T.LongType()),
-])
-
 # The fields of Spark's own image struct, so that either source fits.
 IMAGE = T.StructType([
     T.StructField("origin", T.StringType()),
