@@ -70,6 +70,20 @@ def is_not_monochromatic(image: Column, threshold: float = 0.8) -> Column:
     return ~is_monochromatic(image, threshold)
 
 
+def decode_one(raw: bytes | None, decode: Callable[[bytes], np.ndarray]) -> tuple[dict | None, str | None]:
+    """Image struct and error, one of them None; a bad sample never ends the shard."""
+    if raw is None:
+        return None, "no image bytes"
+    try:
+        rgb = np.asarray(decode(raw), dtype=np.uint8)
+        height, width, channels = rgb.shape
+    except Exception as problem:
+        return None, f"{type(problem).__name__}: {problem}"
+    bgr = np.ascontiguousarray(rgb[:, :, ::-1])
+    return {"origin": "", "height": height, "width": width, "nChannels": channels, "mode": 16,
+            "data": bgr.tobytes()}, None
+
+
 def decode_image(data: Column, decode: Callable[[bytes], np.ndarray]) -> Column:
     """Run a codec plug-in: ``struct<image, error>`` with one of the two null.
 
@@ -77,21 +91,8 @@ def decode_image(data: Column, decode: Callable[[bytes], np.ndarray]) -> Column:
     """
     result = T.StructType([T.StructField("image", IMAGE), T.StructField("error", T.StringType())])
 
-    def one(raw: bytes | None) -> dict:
-        if raw is None:
-            return {"image": None, "error": "no image bytes"}
-        try:
-            rgb = np.asarray(decode(raw), dtype=np.uint8)
-            height, width, channels = rgb.shape
-        except Exception as problem:  # a bad sample must never end the shard
-            return {"image": None, "error": f"{type(problem).__name__}: {problem}"}
-        bgr = np.ascontiguousarray(rgb[:, :, ::-1])
-        image = {"origin": "", "height": height, "width": width, "nChannels": channels,
-                 "mode": 16, "data": bgr.tobytes()}
-        return {"image": image, "error": None}
-
     @F.pandas_udf(result)
     def decoded(column: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([one(raw) for raw in column], columns=["image", "error"])
+        return pd.DataFrame([decode_one(raw, decode) for raw in column], columns=["image", "error"])
 
     return decoded(data)
