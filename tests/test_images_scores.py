@@ -1,5 +1,8 @@
 """Pixel statistics, decoding, scores and features against plain numpy."""
 
+import struct
+import zlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -16,6 +19,7 @@ from tarweave.operators.filters import FILTERS, apply_filters, keep_monochrome,
 from tarweave.operators.generation import features, sampling_params
 from tarweave.operators.scoring import align_captions, average_scores, clip_scores
 from tarweave.schemas import IMAGE
+from tarweave.sources.images import read_images
 
 
 def images(spark, arrays):
@@ -129,3 +133,23 @@ def test_parameter_names():
     assert sampling_params(15, 0.1, "open_clip") == {"max_seq_len": 15, "temperature": 0.1}
     with pytest.raises(ValueError):
         sampling_params(backend="other")
+
+
+def png(rgb) -> bytes:
+    """A plain PNG: one filter byte before each row."""
+    def chunk(kind, body):
+        return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+
+    rows = b"".join(b"\0" + row.astype(np.uint8).tobytes() for row in rgb)
+    head = struct.pack(">IIBBBBB", rgb.shape[1], rgb.shape[0], 8, 2, 0, 0, 0)
+    return (b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(rows)) + chunk(b"IEND", b""))
+
+
+def test_loose_image_files(spark, tmp_path):
+    folder = tmp_path / "album"
+    folder.mkdir()
+    (folder / "plain.v1.png").write_bytes(png(solid(5, 1.0)))
+    (folder / "mixed.png").write_bytes(png(solid(6, 0.2)))
+    (folder / "broken.png").write_bytes(b"nothing")
+    rows = read_images(spark, str(folder)).select("shard", "key", dominance(F.col("image")).alias("d")).collect()
+    assert sorted((r.shard, r.key, round(r.d, 6)) for r in rows) == [("album", "mixed", 0.2), ("album", "plain.v1", 1.0)]

@@ -9,6 +9,7 @@ import pandas as pd
 import pytest
 
 from helpers import ppm, read_ppm, sample, solid, write_tar
+from tarweave import submit
 from tarweave.plans.captioning import caption_shards, prompt_for
 from tarweave.plans.spec import load_spec, run_spec
 from tarweave.streaming.intake import process_new_shards
@@ -186,3 +187,13 @@ def test_model_prompt_shapes():
     assert prompt_for("google/paligemma2-3b-pt-448", "anything") == "caption en"
     assert prompt_for("unknown", "q") == "q" and prompt_for("x/microsoft/Phi-3.5-vision-instruct", "q", "open_clip") == "q"
     assert json.dumps(prompt_for("OpenGVLab/InternVL2_5-1B", "q")) == '"Image: <image>\\nCaption: q\\n\\n"'
+
+
+def test_command_line(spark, data, tmp_path, capsys):
+    path = tmp_path / "spec.yaml"
+    path.write_text(json.dumps(spec(data, tmp_path, txt_key="caption")))
+    submit.main(["process", str(path), "--decode", "helpers:read_ppm", "--limit", "1", "--drop-tail"])
+    assert "'kept': 9" in capsys.readouterr().out
+    submit.main(["caption", "--model-path", "m", "--data-path", data, "--output-dir", str(tmp_path / "c"), "--prompt", "p",
+                 "--model", "test_jobs:make_model", "--decode", "helpers:read_ppm", "--limit", "1", "--debug", "--batch-size", "4"])
+    assert len(os.listdir(tmp_path / "c" / "rows" / "shard=00000")) > 0
