@@ -72,11 +72,30 @@ def assign_batches(
 
 
 def first_rows(df: DataFrame, n: int = 32, shard: str = "shard", pos: str = "pos") -> DataFrame:
-    """The first ``n`` rows of every shard with their ``row_num`` from 0."""
-    if n <= GROUP_LIMIT:
-        rank = F.row_number().over(Window.partitionBy(shard).orderBy(pos))
-        return df.withColumn("_rn", rank).where(F.col("_rn") <= n).withColumn("row_num", F.col("_rn") - 1).drop("_rn")
-    return number_rows(df, shard, pos).where(F.col("row_num") < n).drop("shard_rows")
+    """The first ``n`` rows of every shard with their ``row_num`` from 0.
+
+    The position of each shard's last row to keep is found on the two order
+    columns alone, so that the whole rows are neither sorted nor shuffled
+    before they are down to the first ones. ``df`` is read twice.
+    """
+    if n < 1:
+        return df.limit(0).withColumn("row_num", F.lit(0).cast("long"))
+    if n > GROUP_LIMIT:
+        return number_rows(df, shard, pos).where(F.col("row_num") < n).drop("shard_rows")
+    rank = F.row_number().over(Window.partitionBy(shard).orderBy(pos))
+    last = (
+        df.select(shard, pos)
+        .withColumn("_rn", rank)
+        .where(F.col("_rn") <= n)
+        .groupBy(shard)
+        .agg(F.max(pos).alias("_last"))
+    )
+    return (
+        df.join(last, shard)
+        .where(F.col(pos) <= F.col("_last"))
+        .withColumn("row_num", rank.cast("long") - 1)
+        .drop("_last")
+    )
 
 
 def preview_grid(
