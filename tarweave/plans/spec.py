@@ -17,8 +17,8 @@ from tarweave.operators.mappers import apply_mappers, mapper_configs
 from tarweave.operators.ordering import assign_batches, preview_grid
 from tarweave.operators.samples import RENAME_ORDER
 from tarweave.plans.reading import found_samples, manifest_counts, shards_to_do, usable_samples, with_contents
-from tarweave.session import split_uri
-from tarweave.sources.captions import add_manifest, read_manifest, read_rows, stage, write_rows
+from tarweave.session import split_uri, stage
+from tarweave.sources.captions import add_manifest, read_manifest, read_rows, write_rows
 from tarweave.sources.tar import fetch_parts, fetch_tasks, lay_out, write_laid_out
 
 KEY_ROW = T.StructType([
