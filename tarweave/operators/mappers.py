@@ -16,6 +16,10 @@ from tarweave.operators.joins import last_per_key, lookup
 from tarweave.sources.metadata import read_metadata
 
 
+# Columns the samples already have and every later step relies on.
+RESERVED = ("shard", "pos", "key", "url", "parts", "image", "json")
+
+
 @dataclass
 class AddFieldsConfig:
     type: str
@@ -73,6 +77,8 @@ def mapper_configs(specs: Sequence[dict] | None) -> list[tuple[MapperKind, objec
         config = kind.config(**spec)
         if not getattr(config, "output_key", None):
             raise ValueError(f"mapper {spec['type']!r} must name an output_key")
+        if config.output_key in RESERVED:
+            raise ValueError(f"output_key {config.output_key!r} is a column of every sample")
         found.append((kind, config))
     return found
 
@@ -82,6 +88,7 @@ def apply_mappers(samples: DataFrame, specs: Sequence[dict] | None) -> tuple[Dat
     outputs = []
     for kind, config in mapper_configs(specs):
         samples = samples.transform(kind.build, config)
+        # The last mapper with an output_key wins.
         if config.output_key not in outputs:
             outputs.append(config.output_key)
     return samples, outputs

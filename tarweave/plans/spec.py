@@ -29,6 +29,10 @@ KEY_ROW = T.StructType([
 ])
 
 
+# Keeps mapper outputs apart from the job's own columns.
+MAPPED = "mapped_"
+
+
 @dataclass
 class Spec:
     """The keys of a specification file; an unknown key is an error."""
@@ -81,15 +85,13 @@ def tar_rows(kept: DataFrame, spec: Spec, extra: list[str], tasks: int) -> DataF
     Image and metadata come back under their configured names, mapper outputs
     become entries of their own, other parts stay.
     """
-    slim = kept.select(
-        "shard", "pos", "key", "url", *[F.col(c).cast("string").alias(c) for c in extra],
-        F.col("extents").alias("parts"),
-    )
+    fields = {name: F.col(f"`{MAPPED}{name}`") for name in extra}
+    slim = kept.select("shard", "pos", "key", "url", *fields.values(), F.col("extents").alias("parts"))
     read = fetch_parts(lay_out(slim, tasks))
     part = F.col("parts")
     image = F.coalesce(*[F.try_element_at("parts", F.lit(s)) for s in RENAME_ORDER])
     named = {spec.img_key: image, spec.meta_key: F.try_element_at("parts", F.lit(spec.meta_key))}
-    named |= {name: F.col(name).cast("binary") for name in extra}
+    named |= {name: field.cast("string").cast("binary") for name, field in fields.items()}
     replaced = F.array(*[F.lit(s) for s in {*RENAME_ORDER, *named}])
     others = F.map_filter(part, lambda name, _: ~F.array_contains(replaced, name))
     added = F.create_map(*[x for name, value in named.items() for x in (F.lit(name), value)])
@@ -120,6 +122,7 @@ def run_spec(
     # Filters cannot see a mapper's output and both only drop rows, so the join
     # runs first, on rows without pixels.
     mapped, extra = apply_mappers(usable_samples(samples, spec.meta_key), spec.mapper_functions)
+    mapped = mapped.withColumnsRenamed({name: MAPPED + name for name in extra})
 
     seen = Observation()
     judged = judge(with_contents(mapped, tasks, decode, image=decode is not None), spec).observe(

@@ -85,12 +85,13 @@ def test_mapper_adds_fields_to_tars(spark, data, tmp_path):
     meta.mkdir()
     pd.DataFrame({"key": ["a0", "a1", "a0", "a2"], "txt": ["old", "one", "zero", None]}).to_parquet(meta / "00000.parquet")
     mapper = {"type": "add_fields", "input_key": "txt", "output_key": "short", "metadata_path": str(meta)}
-    config = spec(data, tmp_path, mapper_functions=[mapper], save_tar=True)
+    again = {**mapper, "output_key": "txt"}
+    config = spec(data, tmp_path, mapper_functions=[mapper, again], save_tar=True)
     out = run_spec(spark, config, limit=1)
     assert sorted(r.key for r in out.rows.collect()) == ["a0", "a1", "a2"]
     with tarfile.open(os.path.join(config["output_dir"], "00000.tar")) as archive:
-        texts = {n: archive.extractfile(n).read() for n in archive.getnames() if n.endswith(".short")}
-    assert texts == {"a0.short": b"zero", "a1.short": b"one"}
+        texts = {n: archive.extractfile(n).read() for n in archive.getnames() if n.endswith((".short", ".txt"))}
+    assert texts == {"a0.short": b"zero", "a1.short": b"one", "a0.txt": b"zero", "a1.txt": b"one"}
 
 
 def test_spec_files_and_their_errors(tmp_path):
@@ -104,8 +105,10 @@ def test_spec_files_and_their_errors(tmp_path):
         load_spec({**base, "colour": 1})
     with pytest.raises(ValueError):
         load_spec({**base, "filter_functions": [{"type": "blur"}]})
-    with pytest.raises(ValueError):
-        load_spec({**base, "mapper_functions": [{"type": "nothing"}]})
+    field = {"type": "add_fields", "input_key": "a", "metadata_path": "/m"}
+    for mapper in ({"type": "nothing"}, {**field, "output_key": "image"}, {**field, "output_key": ""}):
+        with pytest.raises(ValueError):
+            load_spec({**base, "mapper_functions": [mapper]})
 
 
 def make_model(params):
