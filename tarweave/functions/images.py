@@ -30,6 +30,13 @@ def _usable(height, width, channels, data) -> bool:
     return height * width > 0 and channels >= CHANNELS and len(data) == height * width * channels
 
 
+def largest_share(height: int, width: int, channels: int, data: bytes) -> float | None:
+    """``dominance`` of one image; None when it has no usable pixels."""
+    if not _usable(height, width, channels, data):
+        return None
+    return float(_channel_counts(height, width, channels, data).max() / (height * width))
+
+
 def _image_rows(images: pd.DataFrame):
     for h, w, c, data in zip(images["height"], images["width"], images["nChannels"], images["data"]):
         yield (int(h), int(w), int(c), data) if _usable(h, w, c, data) else None
@@ -52,13 +59,10 @@ def dominance(image: Column) -> Column:
     """
 
     @F.pandas_udf(T.DoubleType())
-    def largest_share(images: pd.DataFrame) -> pd.Series:
-        return pd.Series(
-            [None if r is None else _channel_counts(*r).max() / (r[0] * r[1]) for r in _image_rows(images)],
-            dtype="float64",
-        )
+    def shares(images: pd.DataFrame) -> pd.Series:
+        return pd.Series([None if r is None else largest_share(*r) for r in _image_rows(images)], dtype="float64")
 
-    return largest_share(image)
+    return shares(image)
 
 
 def is_monochromatic(image: Column, threshold: float = 0.95) -> Column:

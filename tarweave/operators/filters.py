@@ -22,7 +22,7 @@ class MonoConfig:
 
 
 def mono(config: MonoConfig) -> Column:
-    return keep_monochrome(dominance(F.col("image")), config.threshold, config.is_monochromatic)
+    return keep_monochrome(F.col("dominance"), config.threshold, config.is_monochromatic)
 
 
 def keep_monochrome(share: Column, threshold: float = 0.8, flag: bool = True) -> Column:
@@ -32,16 +32,27 @@ def keep_monochrome(share: Column, threshold: float = 0.8, flag: bool = True) ->
 
 @dataclass
 class FilterKind:
+    """``build(config)`` is a condition on ``dominance`` and, with ``pixels``, on ``image``.
+
+    Jobs measure ``dominance`` where they decode. Without ``pixels`` they do
+    not have to pass the decoded images on.
+    """
+
     config: type
     build: Callable[[object], Column]
+    pixels: bool = True
 
 
-FILTERS: dict[str, FilterKind] = {"mono": FilterKind(MonoConfig, mono)}
+FILTERS: dict[str, FilterKind] = {"mono": FilterKind(MonoConfig, mono, pixels=False)}
 
 
-def register_filter(name: str, config: type, build: Callable[[object], Column]) -> None:
+def register_filter(name: str, config: type, build: Callable[[object], Column], pixels: bool = True) -> None:
     """Add a filter: ``build(config)`` gives a boolean column over the sample."""
-    FILTERS[name] = FilterKind(config, build)
+    FILTERS[name] = FilterKind(config, build, pixels)
+
+
+def need_pixels(specs: Sequence[dict] | None) -> bool:
+    return any(FILTERS[spec["type"]].pixels for spec in specs or ())
 
 
 def build_filters(specs: Sequence[dict] | None) -> list[Column]:
@@ -57,7 +68,12 @@ def build_filters(specs: Sequence[dict] | None) -> list[Column]:
 def apply_filters(samples: DataFrame, specs: Sequence[dict] | None) -> DataFrame:
     """Keep the samples that pass every filter; a null verdict drops too."""
     conditions = build_filters(specs)
-    return samples.where(reduce(lambda a, b: a & b, conditions)) if conditions else samples
+    if not conditions:
+        return samples
+    measured = samples
+    if "dominance" not in samples.columns:
+        measured = samples.withColumn("dominance", dominance(F.col("image")))
+    return measured.where(reduce(lambda a, b: a & b, conditions)).select(*samples.columns)
 
 
 def split_rejects(samples: DataFrame, error: str = "error") -> tuple[DataFrame, DataFrame]:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarweave.functions.text import caption_from_meta
-from tarweave.operators.filters import build_filters
+from tarweave.operators.filters import build_filters, need_pixels
 from tarweave.operators.mappers import apply_mappers, mapper_configs
 from tarweave.operators.ordering import assign_batches, preview_grid
 from tarweave.operators.samples import RENAME_ORDER
@@ -76,7 +76,7 @@ def judge(read: DataFrame, spec: Spec) -> DataFrame:
     """Add ``passes``: no error and every filter agrees. Drops the pixels."""
     verdicts = [F.col("error").isNull(), *build_filters(spec.filter_functions)]
     agreed = F.coalesce(reduce(lambda a, b: a & b, verdicts), F.lit(False))
-    return read.withColumn("passes", agreed).drop("image")
+    return read.withColumn("passes", agreed).drop("image", "dominance")
 
 
 def tar_rows(kept: DataFrame, spec: Spec, extra: list[str], tasks: int) -> DataFrame:
@@ -125,7 +125,15 @@ def run_spec(
     mapped = mapped.withColumnsRenamed({name: MAPPED + name for name in extra})
 
     seen = Observation()
-    judged = judge(with_contents(mapped, tasks, decode, image=decode is not None), spec).observe(
+    read = with_contents(
+        mapped,
+        tasks,
+        decode,
+        image=decode is not None,
+        pixels=need_pixels(spec.filter_functions),
+        measure=bool(spec.filter_functions),
+    )
+    judged = judge(read, spec).observe(
         seen,
         F.count(F.lit(1)).alias("samples"),
         F.count_if(F.col("error").isNotNull()).alias("failed"),

@@ -9,7 +9,10 @@ import pandas as pd
 import pytest
 
 from helpers import ppm, read_ppm, sample, solid, write_tar
+from pyspark.sql import functions as F
+
 from tarweave import submit
+from tarweave.operators.filters import FILTERS, register_filter
 from tarweave.plans.captioning import caption_shards, prompt_for
 from tarweave.plans.spec import load_spec, run_spec
 from tarweave.streaming.intake import process_new_shards
@@ -94,6 +97,23 @@ def test_mapper_adds_fields_to_tars(spark, data, tmp_path):
     assert texts == {"a0.short": b"zero", "a1.short": b"one", "a0.txt": b"zero", "a1.txt": b"one"}
 
 
+class TopLeft:
+    def __init__(self, type, least):
+        self.least = least
+
+
+def test_own_filter_on_pixels(spark, data, tmp_path):
+    """Blue comes first in the struct; the made-up images differ in their first red value."""
+    register_filter("red", TopLeft, lambda c: F.conv(F.hex(F.substring("image.data", 3, 1)), 16, 10).cast("int") >= c.least)
+    try:
+        config = spec(data, tmp_path, filter_functions=[{"type": "red", "least": 255}, *MONO])
+        out = run_spec(spark, config, decode=read_ppm, limit=1)
+        first = {f"a{i}": solid(i, 0.1)[0, 0, 0] for i in range(7)} | {"edge": solid(51, 0.8)[0, 0, 0]}
+        assert sorted(r.key for r in out.rows.collect()) == sorted(k for k, v in first.items() if v >= 255)
+    finally:
+        del FILTERS["red"]
+
+
 def test_spec_files_and_their_errors(tmp_path):
     path = tmp_path / "spec.yaml"
     path.write_text("data_path: /x\noutput_dir: /y\nbatch_size: 32\nnum_workers: 4\nmeta_key: info.json\nimg_key: png\n"
