@@ -1,35 +1,15 @@
-"""What the operators of this package share: blocks of texts, staged tables, checked broadcasts."""
+"""What the operators of this package share: staged tables, checked broadcasts."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarweave.session import stage
 
-__all__ = ["blocks", "lower_ascii", "stage", "small_or_shuffled"]
+__all__ = ["lower_ascii", "stage", "small_or_shuffled"]
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-#: Bytes of text that one numpy step handles.
-BLOCK_BYTES = 4 << 20
-
-
-def blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of ``batch`` with about ``limit`` bytes in ``column``; one row at least."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
-    start = total = 0
-    for i, size in enumerate(sizes):
-        if i > start and total + size > limit:
-            yield batch.slice(start, i - start)
-            start, total = i, 0
-        total += size
-    if start < len(sizes):
-        yield batch.slice(start)
-
 
 def lower_ascii(column: Column) -> Column:
     """``column`` with A-Z in lower case and nothing else changed; null is empty."""

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarweave.llm import quotient
+from tarweave.llm import bpe, quotient, token_files
+from tarweave.session import ship_package, work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -39,3 +40,31 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts by counting quotient filters; the row with the largest id stays."""
     return quotient.exact_copies(table(spark, sf_dir, "documents")).drop("fp")
+
+
+@query()
+def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of every text and the bytes they decode to, as digests."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ship_package(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", bpe.encode(F.col("text"), path, public_tokenizers.PATTERN).alias("ids"))
+    return docs.withColumn("decoded", bpe.decode(F.col("ids"), path)).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query()
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every text written in order of the ids, and what the files hold."""
+    import public_tokenizers
+
+    ship_package(spark)
+    docs = token_files.in_order(table(spark, sf_dir, "documents"), "doc_id", "text")
+    path = work_dir(spark, "tokens")
+    token_files.write_tokens(docs.select("doc_id", token_files.encode(F.col("text"), public_tokenizers.path("word_bpe_49k.json"), end_id=2).alias("ids")), path)
+    return token_files.positions(spark, path)
