@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarweave.llm import bpe, quotient, token_files
+from tarweave.llm import bpe, licenses, quotient, token_files
 from tarweave.session import ship_package, work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,9 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "tokens")
     token_files.write_tokens(docs.select("doc_id", token_files.encode(F.col("text"), public_tokenizers.path("word_bpe_49k.json"), end_id=2).alias("ids")), path)
     return token_files.positions(spark, path)
+
+
+@query(licenses.brute_force_sql())
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and statements of every text."""
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
