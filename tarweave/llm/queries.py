@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarweave.llm import bpe, licenses, quotient, token_files
+from tarweave.llm import bpe, licenses, quality, quotient, token_files
 from tarweave.session import ship_package, work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,12 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and statements of every text."""
     return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every text by a conditional random field over its lines."""
+    ship_package(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    field = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.judge(docs, field).select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
