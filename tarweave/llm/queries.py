@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarweave.llm import bpe, licenses, quality, quotient, token_files
+from tarweave.llm import bpe, licenses, quality, quotient, templates, token_files
 from tarweave.session import ship_package, work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,9 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     field = quality.train(docs, table(spark, sf_dir, "labels"))
     return quality.judge(docs, field).select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query()
+def op7_benchmark_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in texts, as they are or with other numbers, units and names."""
+    return templates.benchmark_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("print")
