@@ -17,7 +17,7 @@ import base64
 import heapq
 import re
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -30,9 +30,9 @@ from tarweave.llm.spans import Spans, id_lists, text_blocks
 from tarweave.llm.words import ragged
 
 #: Pieces that one recursive query encodes; its rows fit in MEMORY.
-PIECES = 16_000
+PIECES = 8_000
 #: Pieces and chunks that a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 1_200_000
 #: Beyond so many bytes a piece is merged with a heap, as one contraction a step costs the square of its length.
 LONG_PIECE = 400
 MEMORY = "200MB"
@@ -93,26 +93,35 @@ class _Vocabulary:
         self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
         self.db.unregister("given")
 
-    def encode(self, pieces: list[bytes]) -> list[list[int]]:
-        """Ids of each piece; a piece that is a token is that token."""
-        out: list[list[int] | None] = [[self.ranks[p]] if p in self.ranks else None for p in pieces]
+    def encode(self, pieces: list[bytes]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+        """Blocks of pieces, by their places in the list, with all their ids and how many each has.
+
+        A piece that is a token is that token.
+        """
+        ranks = self.ranks
+        known = [i for i, p in enumerate(pieces) if p in ranks]
+        yield known, np.fromiter((ranks[pieces[i]] for i in known), np.int32, len(known)), np.ones(len(known), np.int64)
+        todo = []
         for i, piece in enumerate(pieces):
-            if out[i] is None and len(piece) > LONG_PIECE:
-                out[i] = self._merge_long(piece)
-        todo = [i for i, ids in enumerate(out) if ids is None]
+            if piece in ranks:
+                continue
+            if len(piece) > LONG_PIECE:
+                ids = self._merge_long(piece)
+                yield [i], np.array(ids, np.int32), np.array([len(ids)])
+            else:
+                todo.append(i)
         for k in range(0, len(todo), PIECES):
             own = todo[k:k + PIECES]
-            lengths = np.array([len(pieces[i]) for i in own])
+            lengths = np.fromiter((len(pieces[i]) for i in own), np.int64, len(own))
             raw = np.frombuffer(b"".join(pieces[i] for i in own), np.uint8)
             self.db.register("pieces", pa.table({
                 "w": np.repeat(np.arange(len(own), dtype=np.int32), lengths),
                 "pos": ragged(np.zeros(len(own), np.int64), lengths).astype(np.int32),
                 "id": self.byte_ids[raw],
             }))
-            for i, ids in zip(own, self.db.execute(_ENCODE).fetchnumpy()["ids"]):
-                out[i] = ids
+            lists = self.db.sql(_ENCODE).to_arrow_table().column("ids").combine_chunks()
             self.db.unregister("pieces")
-        return out
+            yield own, lists.flatten().to_numpy(), pc.list_value_length(lists).to_numpy().astype(np.int64)
 
     def _merge_long(self, piece: bytes) -> list[int]:
         """The same contraction order, smallest rank and then leftmost, by a heap of pairs."""
@@ -165,23 +174,24 @@ class _Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.pieces: dict[str, np.ndarray] = {}
-        self.spaced: dict[str, int] = {}  # a chunk after a space -> its span
-        self.plain: dict[str, int] = {}  # a piece of text as it is
-        self.spans = Spans()
+        self.pieces: dict[str, int] = {}  # a piece -> its span of ids
+        self.spaced: dict[str, int] = {}  # a chunk after a space -> its span of pieces
+        self.plain: dict[str, int] = {}  # a piece of text as it is -> the same
+        self.ids, self.cuts = Spans(), Spans()
 
-    def _learn(self, known: dict[str, int], texts: list[str], before: str) -> None:
-        """Note the ids of those of ``texts`` that are not known, each cut and encoded by itself."""
+    def _learn(self, known: dict[str, int], texts: Iterable[str], before: str) -> None:
+        """Note the pieces of those of ``texts`` that are not known, and the ids of pieces."""
         new = list(set(texts).difference(known))
         cuts = [self.cut(before + t) for t in new]
-        pieces = list({p for cut in cuts for p in cut}.difference(self.pieces))
-        for piece, ids in zip(pieces, self.vocabulary.encode([p.encode() for p in pieces])):
-            self.pieces[piece] = np.asarray(ids, np.int32)
-        known.update(zip(new, self.spans.add([[self.pieces[p] for p in cut] for cut in cuts])))
+        pieces = list(set(chain.from_iterable(cuts)).difference(self.pieces))
+        for own, ids, counts in self.vocabulary.encode([p.encode() for p in pieces]):
+            self.pieces.update(zip([pieces[i] for i in own], self.ids.add(ids, counts)))
+        numbers = list(map(self.pieces.__getitem__, chain.from_iterable(cuts)))
+        known.update(zip(new, self.cuts.add(np.array(numbers, np.int32), np.fromiter(map(len, cuts), np.int64, len(cuts)))))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and how many each text has."""
-        if len(self.pieces) + len(self.spans) > REMEMBERED:
+        if len(self.ids) + len(self.cuts) > REMEMBERED:
             self._forget()
         heads: list[list[str]] = []
         chunks: list[list[str]] = []
@@ -194,14 +204,15 @@ class _Encoder:
                 first, *rest = text.split(" ")
                 heads.append([first])
                 chunks.append(rest)
-        self._learn(self.plain, list(chain.from_iterable(heads)), "")
-        self._learn(self.spaced, list(chain.from_iterable(chunks)), " ")
+        self._learn(self.plain, chain.from_iterable(heads), "")
+        self._learn(self.spaced, chain.from_iterable(chunks), " ")
         plain, spaced = self.plain.__getitem__, self.spaced.__getitem__
         places: list[int] = []
         for head, rest in zip(heads, chunks):
             places.extend(map(plain, head))
             places.extend(map(spaced, rest))
-        return self.spans.gather(places, [len(h) + len(r) for h, r in zip(heads, chunks)])
+        pieces, counts = self.cuts.gather(places, [len(h) + len(r) for h, r in zip(heads, chunks)])
+        return self.ids.gather(pieces, counts)
 
 
 _RUN = re.compile(r"\s ").search
@@ -220,7 +231,7 @@ def _encoder(path: str, pattern: str) -> _Encoder:
     return _known[path, pattern]
 
 
-def encode(text: Column, path: str, pattern: str, block: int = 8 << 20) -> Column:
+def encode(text: Column, path: str, pattern: str, block: int = 4 << 20) -> Column:
     """Token ids of ``text`` as an array; null and empty text have none.
 
     ``path`` is a rank file (base64 token and rank a line) that every executor can

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarweave.llm.spans import text_blocks
+from tarweave.llm.spans import text_slices
 from tarweave.llm.words import find_words, text_bytes
 
 #: Labelled documents that the field is fitted on at most: those whose ids hash lowest.
@@ -201,8 +201,8 @@ def score(text: Column, field: Field | float) -> Column:
         own = Field(weights, change)
         for texts in batches:
             parts = []
-            for block in text_blocks(texts, 4 << 20):
-                lines = find_lines(pa.array(block, pa.string()))
+            for block in text_slices(texts):
+                lines = find_lines(block)
                 good, _, _ = own.marginals(with_neighbours(lines), lines.rows)
                 weight = np.maximum(lines.lengths, 1e-9)
                 sums = np.add.reduceat(good * weight, lines.rows[:-1]) / np.add.reduceat(weight, lines.rows[:-1])

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -12,54 +11,59 @@ import pyarrow.compute as pc
 from tarweave.llm.words import ragged, text_bytes
 
 
+def _room(array: np.ndarray, size: int) -> np.ndarray:
+    return array if size <= len(array) else np.concatenate([array, np.zeros(max(size - len(array), len(array) // 2), array.dtype)])
+
+
 class Spans:
     """A growing store of runs of ids; a run is known by its number."""
 
     def __init__(self):
         self._flat = np.zeros(1 << 16, np.int32)
-        self._start = np.zeros(0, np.int64)
-        self._length = np.zeros(0, np.int64)
-        self._used = 0
+        self._start = np.zeros(1 << 10, np.int64)
+        self._length = np.zeros(1 << 10, np.int32)
+        self._used = self._n = 0
 
     def __len__(self) -> int:
-        return len(self._start)
-
-    def add(self, runs: list[list]) -> range:
-        """Store runs, each given as a list of arrays to be joined; their numbers."""
-        parts = list(chain.from_iterable(runs))
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        sums = np.append(0, np.cumsum(sizes))
-        ends = sums[np.cumsum(np.fromiter(map(len, runs), np.int64, len(runs)))]
-        starts = np.append(0, ends[:-1])[:len(ends)]
-        total = int(sums[-1])
-        if self._used + total > len(self._flat):
-            self._flat = np.concatenate([self._flat, np.zeros(max(len(self._flat), total), np.int32)])
-        if parts:
-            self._flat[self._used:self._used + total] = np.concatenate(parts)
-        first = len(self._start)
-        self._start = np.append(self._start, self._used + starts)
-        self._length = np.append(self._length, ends - starts)
+        return self._n
+
+    def add(self, flat: np.ndarray, counts: np.ndarray) -> range:
+        """Store runs, given one after another with their lengths; their numbers."""
+        ends = np.cumsum(counts)
+        total = len(flat)
+        self._flat = _room(self._flat, self._used + total)
+        self._flat[self._used:self._used + total] = flat
+        first, last = self._n, self._n + len(counts)
+        self._start, self._length = _room(self._start, last), _room(self._length, last)
+        self._start[first:last] = self._used + ends - counts
+        self._length[first:last] = counts
         self._used += total
-        return range(first, len(self._start))
+        self._n = last
+        return range(first, last)
 
-    def gather(self, numbers: list[int], counts: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    def gather(self, numbers: list[int] | np.ndarray, counts: list[int] | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts that consist of ``counts`` runs each, and how many ids each has."""
-        at = np.array(numbers, np.int64)
-        sizes = self._length[at]
-        ends = np.append(0, np.cumsum(sizes))[np.cumsum(np.array(counts, np.int64))]
+        at = np.asarray(numbers, np.int64)
+        sizes = self._length[at].astype(np.int64)
+        ends = np.append(0, np.cumsum(sizes))[np.cumsum(np.asarray(counts, np.int64))]
         return self._flat[ragged(self._start[at], sizes)], np.diff(ends, prepend=0)
 
 
-def text_blocks(texts: pa.Array, limit: int) -> Iterator[list[str]]:
-    """The texts of a column in lists of about ``limit`` bytes, one text at least; null is empty."""
+def text_slices(texts: pa.Array, limit: int = 4 << 20) -> Iterator[pa.Array]:
+    """Slices of a string column with about ``limit`` bytes, one row at least; null becomes empty."""
     _, offsets = text_bytes(texts)
     texts, done = pc.fill_null(texts, ""), 0
     while done < len(texts):
         upto = max(int(np.searchsorted(offsets, offsets[done] + limit, "right")) - 1, done + 1)
-        yield texts.slice(done, upto - done).to_pylist()
+        yield texts.slice(done, upto - done)
         done = upto
 
 
+def text_blocks(texts: pa.Array, limit: int) -> Iterator[list[str]]:
+    """The same as lists of Python strings."""
+    return (part.to_pylist() for part in text_slices(texts, limit))
+
+
 def id_lists(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.Array:
     """A list column from ids and lengths of blocks of rows."""
     ids = np.concatenate([np.zeros(0, np.int32), *(p[0] for p in parts)])

@@ -16,11 +16,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarweave.llm.common import small_or_shuffled, stage
-from tarweave.llm.spans import text_blocks
+from tarweave.llm.spans import text_slices
 from tarweave.llm.words import Words, find_words, mix
 from tarweave.session import ship_package
 
@@ -100,7 +101,7 @@ def windows(texts: pa.Array, units: np.ndarray) -> Windows:
     a name at the start of a sentence elsewhere isn't known for one.
     """
     words = find_words(texts)
-    hashes = words.hashes()
+    hashes = find_words(pc.utf8_lower(texts)).hashes()  # as many words: only letters change
     what = kinds(words, hashes, units)
     plain = np.where(what == NAME, 0, what)
     size = max(len(hashes) - WINDOW + 1, 0)
@@ -136,8 +137,8 @@ def _windows_of(df: DataFrame, id_col: str, text_col: str, bits: np.ndarray | No
         units = _word_hashes(UNITS)
         for batch in batches:
             done = 0
-            for block in text_blocks(batch.column("text"), 4 << 20):
-                w = windows(pa.array(block, pa.string()), units)
+            for block in text_slices(batch.column("text")):
+                w = windows(block, units)
                 total = np.maximum(np.diff(w.rows) - WINDOW + 1, 0)
                 kept = np.arange(len(w.at))
                 if bits is not None:

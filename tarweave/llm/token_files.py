@@ -8,8 +8,10 @@ metadata column is read without the rest.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -47,11 +49,13 @@ class _Encoder:
     def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.known) > REMEMBERED:
             self.known, self.spans = {}, Spans()
-        (end,) = self.spans.add([[np.array([end_id], np.int32)]])
+        (end,) = self.spans.add(np.array([end_id], np.int32), np.array([1]))
         chunks = [t.replace("\n", " ").split(" ") for t in texts]
         new = list({c for parts in chunks for c in parts}.difference(self.known))
         found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.known.update(zip(new, self.spans.add([[np.array(e.ids, np.int32)] for e in found])))
+        ids = [e.ids for e in found]
+        counts = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.known.update(zip(new, self.spans.add(np.fromiter(chain.from_iterable(ids), np.int32, counts.sum()), counts)))
         numbers: list[int] = []
         for parts in chunks:
             numbers.extend(map(self.known.__getitem__, parts))
@@ -62,7 +66,7 @@ class _Encoder:
 _encoders: dict[str, _Encoder] = {}
 
 
-def encode(text: Column, path: str, end_id: int, block: int = 8 << 20) -> Column:
+def encode(text: Column, path: str, end_id: int, block: int = 4 << 20) -> Column:
     """Ids of ``text`` by the tokenizer file at ``path`` and ``end_id`` after them; null is empty.
 
     For tokenizers that drop white space. No special tokens are added; their
@@ -71,8 +75,6 @@ def encode(text: Column, path: str, end_id: int, block: int = 8 << 20) -> Column
 
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         if path not in _encoders:
             _encoders[path] = _Encoder(path)
