@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarweave.llm import bpe, licenses, quality, quotient, templates, token_files
+from tarweave.llm import bpe, licenses, quality, quotient, templates, token_files, weighted_minhash
 from tarweave.session import ship_package, work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,9 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_benchmark_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items found in texts, as they are or with other numbers, units and names."""
     return templates.benchmark_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("print")
+
+
+@query()
+def op3_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of near copies by consistent weighted sampling."""
+    return weighted_minhash.near_copies(table(spark, sf_dir, "documents")).drop("print")
