@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tarweave.session import stage
 
-__all__ = ["lower_ascii", "stage", "small_or_shuffled"]
+__all__ = ["lower_ascii", "pair_texts", "stage", "small_or_shuffled"]
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -22,3 +22,15 @@ def small_or_shuffled(df: DataFrame, rows: int) -> DataFrame:
     The count reads one row more than the bound, so ``df`` should be staged or cheap.
     """
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def pair_texts(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``a, b, text_a, text_b`` of pairs of nodes; ``nodes`` are ``node, text``, a node perhaps repeatedly."""
+    pairs = stage(pairs.select("a", "b"), "pairs")
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    texts = stage(nodes.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "texts")
+    return (
+        pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+        .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+        .select("a", "b", "text_a", "text_b")
+    )

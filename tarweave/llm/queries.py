@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarweave.llm import bpe, licenses, quality, quotient, templates, token_files, weighted_minhash
+from tarweave.llm import bpe, licenses, passages, quality, quotient, templates, token_files, weighted_minhash
 from tarweave.session import ship_package, work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,9 @@ def op7_benchmark_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of near copies by consistent weighted sampling."""
     return weighted_minhash.near_copies(table(spark, sf_dir, "documents")).drop("print")
+
+
+@query()
+def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages that texts have in common, by compact windows."""
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))

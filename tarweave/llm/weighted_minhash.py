@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarweave.llm.common import small_or_shuffled, stage
+from tarweave.llm.common import pair_texts, small_or_shuffled, stage
 from tarweave.llm.graph import components
 from tarweave.llm.spans import text_slices
 from tarweave.llm.words import find_words, mix, shingles
@@ -44,6 +44,8 @@ DF_BITS = 20
 _CELL = 1 << 12
 #: Rows up to which keys are broadcast (24 bytes each); beyond, joins shuffle.
 BROADCAST_ROWS = 200_000
+#: The weight of a shingle that every document has; 1 is that of the rarest.
+FLOOR = 0.8
 
 _rng = np.random.default_rng(11)
 _R = _rng.standard_gamma(2, 1 << 16).astype(np.float32)
@@ -68,11 +70,11 @@ def _cell(hashes: np.ndarray) -> np.ndarray:
 
 
 def rarity(df: DataFrame, text_col: str = "text") -> np.ndarray:
-    """A weight from 0.5 (in every document) to 1 for each place of the frequency table.
+    """A weight from FLOOR (in every document) to 1 (in one at most) for each place of the frequency table.
 
-    0.5 is added to half the logarithm of how rarely documents have a shingle,
-    relative to their number: common shingles count less, but copies of a text
-    that is copied often do not become unlike for the few words in which they differ.
+    The weight grows with the logarithm of the inverse document frequency. The floor
+    keeps copies of a text that is copied often from becoming unlike for the few
+    words in which they differ, as only those are rare.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,7 +103,7 @@ def rarity(df: DataFrame, text_col: str = "text") -> np.ndarray:
         return np.ones(1 << DF_BITS, np.float32)
     (docs,) = np.frombuffer(parts.pop(-1), np.int64)
     seen = np.concatenate([np.frombuffer(parts[k], np.int64) for k in range(len(parts))])
-    return (0.5 + 0.5 * np.log((1 + docs) / (1 + np.minimum(seen, docs))) / math.log(1 + docs)).astype(np.float32)
+    return (FLOOR + (1 - FLOOR) * np.log((1 + docs) / (1 + np.minimum(seen, docs))) / math.log(1 + docs)).astype(np.float32)
 
 
 def signatures(hashes: np.ndarray, logs: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -179,13 +181,6 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 def _verified(pairs: DataFrame, nodes: DataFrame, weights: np.ndarray) -> DataFrame:
     """``a, b, far``: the distance of each pair of nodes, by their whole texts."""
-    pairs = stage(pairs, "pairs")
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    texts = stage(nodes.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "texts")
-    both = (
-        pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-        .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,7 +196,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, weights: np.ndarray) -> DataFr
                 far.append(1 - similarity(*sides, weights))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(far, pa.float64())], ["a", "b", "far"])
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a binary, b binary, far double")
+    return pair_texts(pairs, nodes).mapInArrow(compare, "a binary, b binary, far double")
 
 
 def near_links(nodes: DataFrame, weights: np.ndarray, similarity: float = SIMILARITY) -> DataFrame:
