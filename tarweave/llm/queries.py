@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarweave.llm import bpe, licenses, passages, quality, quotient, templates, token_files, weighted_minhash
+from tarweave.llm import bpe, chat, licenses, passages, quality, quotient, templates, token_files, urls, weighted_minhash
 from tarweave.session import ship_package, work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,60 @@ def op3_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages that texts have in common, by compact windows."""
     return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+_LISTED = "(adult|casino|bets|pills|spam|ads)"
+
+
+def _url_entries(pages: DataFrame) -> DataFrame:
+    """A dated list made of the hosts of ``pages``: suspicious domains come, go and come again; of some hosts one section is listed."""
+    hosts = pages.select(urls.host_of(F.col("url")).alias("host")).where("host IS NOT NULL").distinct()
+    hosts = hosts.withColumn("day", F.expr("CAST(conv(substr(md5(host), 1, 6), 16, 10) AS BIGINT) % 200"))
+    domain = hosts.where(F.col("host").rlike(_LISTED)).select(
+        F.element_at(F.split("host", r"\."), -3).alias("name"), F.concat_ws(".", F.slice(F.split("host", r"\."), -3, 3)).alias("pattern"), "day"
+    ).groupBy("pattern", "name").agg(F.min("day").alias("day"))
+    dated = domain.select(
+        "pattern", F.regexp_extract("name", _LISTED, 1).alias("category"),
+        F.explode(F.array(*(F.struct((F.col("day") + d).alias("day"), F.lit(on).alias("listed")) for d, on in ((0, True), (60, False), (120, True))))).alias("e"),
+    ).select("pattern", "category", F.col("e.day").alias("day"), F.col("e.listed").alias("listed"))
+    section = hosts.where("day % 5 = 0").select(F.concat("host", F.lit("/de")).alias("pattern"), F.lit("section").alias("category"), "day", F.lit(True).alias("listed"))
+    return dated.union(section).select("pattern", "category", (F.col("day") * 86400).alias("at"), "listed")
+
+
+@query(f"""
+    WITH p AS (
+      SELECT page_id, url, (page_id * 7919) % 31536000 AS fetched_at, lower(regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1)) AS host,
+             regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS path
+      FROM pages),
+    hosts AS (SELECT host, ('0x' || substr(md5(host), 1, 6))::BIGINT % 200 AS day FROM (SELECT DISTINCT host FROM p WHERE host <> '')),
+    domain AS (
+      SELECT array_to_string(string_split(host, '.')[-3:], '.') AS pattern, regexp_extract(string_split(host, '.')[-3], '{_LISTED}', 1) AS category, min(day) AS day
+      FROM hosts WHERE regexp_matches(host, '{_LISTED}') GROUP BY ALL),
+    e AS (
+      SELECT pattern, category, day + unnest([0, 60, 120]) AS day, unnest([true, false, true]) AS listed FROM domain
+      UNION ALL SELECT host || '/de', 'section', day, true FROM hosts WHERE day % 5 = 0),
+    held AS (
+      SELECT page_id, category, arg_max(listed, day) AS listed
+      FROM p JOIN e ON day * 86400 <= fetched_at AND (host = pattern OR host LIKE '%.' || pattern OR host || path = pattern OR host || path LIKE pattern || '/%')
+      GROUP BY page_id, category, pattern),
+    c AS (SELECT page_id, string_agg(DISTINCT category, ',' ORDER BY category) AS categories FROM held WHERE listed GROUP BY page_id)
+    SELECT page_id, url, fetched_at, coalesce(categories, '') AS categories, categories IS NULL AS kept FROM p LEFT JOIN c USING (page_id)
+""")
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page against the list entries in force when it was fetched (a time made of its id)."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    captures = pages.select(F.col("page_id").alias("id"), "url", (F.col("page_id") * 7919 % 31536000).alias("fetched_at"))
+    return urls.judge(captures, _url_entries(pages)).withColumnRenamed("id", "page_id")
+
+
+@query("""
+    WITH t AS (
+      SELECT conv_id, count(*) AS turns, string_agg('<|' || role || '|>' || chr(10) || text || chr(10) || '<|end|>' || chr(10), '' ORDER BY turn) AS text
+      FROM conversations GROUP BY conv_id)
+    SELECT conv_id, turns, text FROM t
+    WHERE NOT EXISTS (
+      SELECT 1 FROM t u WHERE (u.turns > t.turns AND starts_with(u.text, t.text)) OR (u.text = t.text AND u.conv_id < t.conv_id))
+""")
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations that no longer one begins with, rendered."""
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
