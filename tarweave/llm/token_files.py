@@ -19,10 +19,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tarweave.llm.spans import Spans, id_lists, text_blocks
+from tarweave.llm.spans import Numbered, Spans, id_lists, text_blocks
 
 #: Chunks of text that a worker remembers the ids of.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 FORMAT = {
     "compression": "zstd",
     "parquet.writer.version": "PARQUET_2_0",  # deltas for whole numbers without a dictionary
@@ -38,29 +38,55 @@ FORMAT = {
 class _Encoder:
     """Ids of texts by a tokenizer that drops white space, so that chunks between spaces and line ends encode alone."""
 
+    #: A sign that between spaces is a piece by itself; it parts chunks that are encoded together.
+    MARK = "\x01"
+    TOGETHER = 256
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, int] = {}
-        self.spans = Spans()
+        self.mark = self._ids(self.MARK)
+        self._forget()
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _forget(self) -> None:
+        self.known, self.spans = Numbered(), Spans()
+
+    def _learn(self) -> None:
+        new = self.known.take_new()
+        for k in range(0, len(new), self.TOGETHER):
+            own = new[k:k + self.TOGETHER]
+            joined = f" {self.MARK} ".join(own)
+            if len(self.mark) == 1 and joined.count(self.MARK) == len(own) - 1:
+                ids = np.array(self._ids(joined), np.int32)
+                marks = np.flatnonzero(ids == self.mark[0])
+                counts = np.diff(np.concatenate([[-1], marks, [len(ids)]])) - 1
+                ids = np.delete(ids, marks)
+            else:
+                lists = [self._ids(c) for c in own]
+                counts = np.fromiter(map(len, lists), np.int64, len(lists))
+                ids = np.fromiter(chain.from_iterable(lists), np.int32, counts.sum())
+            if len(counts) != len(own):
+                raise ValueError("the tokenizer doesn't keep chunks between spaces apart")
+            self.spans.add(ids, counts)
 
     def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.known) > REMEMBERED:
-            self.known, self.spans = {}, Spans()
-        (end,) = self.spans.add(np.array([end_id], np.int32), np.array([1]))
-        chunks = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list({c for parts in chunks for c in parts}.difference(self.known))
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        ids = [e.ids for e in found]
-        counts = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.known.update(zip(new, self.spans.add(np.fromiter(chain.from_iterable(ids), np.int32, counts.sum()), counts)))
+            self._forget()
         numbers: list[int] = []
-        for parts in chunks:
+        counts = []
+        for text in texts:
+            parts = text.replace("\n", " ").split(" ")
             numbers.extend(map(self.known.__getitem__, parts))
-            numbers.append(end)
-        return self.spans.gather(numbers, [len(parts) + 1 for parts in chunks])
+            counts.append(len(parts))
+        self._learn()
+        ids, sizes = self.spans.gather(numbers, counts)
+        ends = np.cumsum(sizes)
+        return np.insert(ids, ends, end_id), sizes + 1
 
 
 _encoders: dict[str, _Encoder] = {}
