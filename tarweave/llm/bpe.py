@@ -17,7 +17,7 @@ import base64
 import heapq
 import re
 import tempfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -26,13 +26,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tarweave.llm.spans import Spans, id_lists, text_blocks
+from tarweave.llm.spans import Numbered, Spans, id_lists, text_blocks
 from tarweave.llm.words import ragged
 
 #: Pieces that one recursive query encodes; its rows fit in MEMORY.
 PIECES = 8_000
 #: Pieces and chunks that a worker remembers.
-REMEMBERED = 1_200_000
+REMEMBERED = 1_000_000
 #: Beyond so many bytes a piece is merged with a heap, as one contraction a step costs the square of its length.
 LONG_PIECE = 400
 MEMORY = "200MB"
@@ -175,44 +175,43 @@ class _Encoder:
 
     def _forget(self) -> None:
         self.pieces: dict[str, int] = {}  # a piece -> its span of ids
-        self.spaced: dict[str, int] = {}  # a chunk after a space -> its span of pieces
-        self.plain: dict[str, int] = {}  # a piece of text as it is -> the same
-        self.ids, self.cuts = Spans(), Spans()
-
-    def _learn(self, known: dict[str, int], texts: Iterable[str], before: str) -> None:
-        """Note the pieces of those of ``texts`` that are not known, and the ids of pieces."""
-        new = list(set(texts).difference(known))
-        cuts = [self.cut(before + t) for t in new]
+        self.ids = Spans()
+        # A piece of text as it is, or a chunk after a space -> its span of pieces.
+        self.plain, self.spaced = (Numbered(), Spans()), (Numbered(), Spans())
+
+    def _learn(self, known: Numbered, spans: Spans, before: str) -> None:
+        """Note the pieces of texts that were met for the first time, and the ids of their pieces."""
+        cuts = [self.cut(before + t) for t in known.take_new()]
         pieces = list(set(chain.from_iterable(cuts)).difference(self.pieces))
         for own, ids, counts in self.vocabulary.encode([p.encode() for p in pieces]):
             self.pieces.update(zip([pieces[i] for i in own], self.ids.add(ids, counts)))
         numbers = list(map(self.pieces.__getitem__, chain.from_iterable(cuts)))
-        known.update(zip(new, self.cuts.add(np.array(numbers, np.int32), np.fromiter(map(len, cuts), np.int64, len(cuts)))))
+        spans.add(np.array(numbers, np.int32), np.fromiter(map(len, cuts), np.int64, len(cuts)))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and how many each text has."""
-        if len(self.ids) + len(self.cuts) > REMEMBERED:
+        if len(self.pieces) + len(self.plain[0]) + len(self.spaced[0]) > REMEMBERED:
             self._forget()
-        heads: list[list[str]] = []
-        chunks: list[list[str]] = []
+        plain, spaced = self.plain[0].__getitem__, self.spaced[0].__getitem__
+        heads: list[int] = []
+        rests: list[int] = []
+        counts = []
         for text in texts:
             # White space and then a space: where runs of white space end, only the pattern on the whole text can say.
-            if _RUN(text):
-                heads.append(self.cut(text))
-                chunks.append([])
-            else:
-                first, *rest = text.split(" ")
-                heads.append([first])
-                chunks.append(rest)
-        self._learn(self.plain, chain.from_iterable(heads), "")
-        self._learn(self.spaced, chain.from_iterable(chunks), " ")
-        plain, spaced = self.plain.__getitem__, self.spaced.__getitem__
-        places: list[int] = []
-        for head, rest in zip(heads, chunks):
-            places.extend(map(plain, head))
-            places.extend(map(spaced, rest))
-        pieces, counts = self.cuts.gather(places, [len(h) + len(r) for h, r in zip(heads, chunks)])
-        return self.ids.gather(pieces, counts)
+            head, rest = (self.cut(text), []) if _RUN(text) else ([(parts := text.split(" "))[0]], parts[1:])
+            heads.extend(map(plain, head))
+            rests.extend(map(spaced, rest))
+            counts.append((len(head), len(rest)))
+        self._learn(*self.plain, "")
+        self._learn(*self.spaced, " ")
+        # Each text's head and then its rest.
+        n = np.array(counts, np.int64).reshape(-1, 2)
+        parts = [self.plain[1].gather(heads, n[:, 0]), self.spaced[1].gather(rests, n[:, 1])]
+        numbers, sizes = zip(*parts)
+        starts = np.column_stack([np.cumsum(sizes[0]) - sizes[0], len(numbers[0]) + np.cumsum(sizes[1]) - sizes[1]])
+        lengths = np.column_stack(sizes)
+        pieces = np.concatenate(numbers)[ragged(starts.ravel(), lengths.ravel())]
+        return self.ids.gather(pieces, lengths.sum(1))
 
 
 _RUN = re.compile(r"\s ").search

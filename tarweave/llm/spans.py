@@ -49,6 +49,23 @@ class Spans:
         return self._flat[ragged(self._start[at], sizes)], np.diff(ends, prepend=0)
 
 
+class Numbered(dict):
+    """Strings and their numbers in order of appearance; looking one up notes it. ``new`` are those noted last."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, text: str) -> int:
+        number = self[text] = len(self)
+        self.new.append(text)
+        return number
+
+    def take_new(self) -> list[str]:
+        new, self.new = self.new, []
+        return new
+
+
 def text_slices(texts: pa.Array, limit: int = 4 << 20) -> Iterator[pa.Array]:
     """Slices of a string column with about ``limit`` bytes, one row at least; null becomes empty."""
     _, offsets = text_bytes(texts)
