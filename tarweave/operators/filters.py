@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarweave.functions.images import dominance
+from tarweave.session import stage
 
 
 @dataclass
@@ -77,5 +78,9 @@ def apply_filters(samples: DataFrame, specs: Sequence[dict] | None) -> DataFrame
 
 
 def split_rejects(samples: DataFrame, error: str = "error") -> tuple[DataFrame, DataFrame]:
-    """Good samples (without the error column) and the failed ones."""
+    """Good samples (without the error column) and the failed ones.
+
+    The samples are staged, so that what made them (a codec, a model) runs once.
+    """
+    samples = stage(samples, "samples")
     return samples.where(F.col(error).isNull()).drop(error), samples.where(F.col(error).isNotNull())

@@ -8,9 +8,12 @@ Every query reads its whole tables.
 from __future__ import annotations
 
 import hashlib
+import io
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,19 +35,20 @@ from tarweave.functions.text import (
 from tarweave.operators.captions import caption_rows, output_columns, overlay
 from tarweave.operators.filters import keep_monochrome, split_rejects
 from tarweave.operators.generation import features, generate_captions
-from tarweave.operators.mappers import AddFieldsConfig, add_fields
+from tarweave.operators.mappers import AddFieldsConfig, add_fields, add_fields_from_files
 from tarweave.operators.ordering import assign_batches, first_rows, preview_grid
 from tarweave.operators.samples import group_samples, has_caption_and_image, has_image, named_entries, rename_parts
 from tarweave.operators.scoring import align_captions, average_scores, clip_scores
 from tarweave.operators.shards import pending_shards, run_counters, shard_counts, skip_done, union_done
 from tarweave.plans.captioning import caption_shards
-from tarweave.plans.spec import run_spec
+from tarweave.plans.spec import KEY_ROW, run_spec
 from tarweave.schemas import IMAGE
-from tarweave.session import ship_package, work_dir
-from tarweave.sources.captions import add_manifest, completed_shards, read_rows, write_rows
-from tarweave.sources.metadata import read_metadata
+from tarweave.session import ship_package, split_uri, work_dir
+from tarweave.sources.captions import add_manifest, completed_shards, read_manifest, read_rows, write_rows
+from tarweave.sources.metadata import ORDER, SHARD, read_metadata
 from tarweave.sources.tar import (
     FORMAT,
+    Headers,
     fetch_parts,
     fetch_tasks,
     index_entries,
@@ -408,7 +412,44 @@ def metadata_scan(spark, sf_dir):
         F.col("o_orderpriority").alias("txt"),
     )
     write_rows(rows, path, rows.drop("shard").schema)
-    return read_metadata(spark, path).select("shard", "pos", "key", "txt")
+    return read_metadata(spark, path).select(
+        F.col(SHARD).alias("shard"), F.col(ORDER)["row"].alias("pos"), "key", "txt"
+    )
+
+
+def _one_file_each(rows: DataFrame, path: str, order: str) -> None:
+    """Write ``<path>/<shard>.parquet`` for every shard, its rows in ``order``."""
+
+    def write(group: pa.Table) -> pa.Table:
+        fs, inner = split_uri(path)
+        name = group.column("shard")[0].as_py()
+        with fs.open_output_stream(f"{inner}/{name}.parquet") as out:
+            pq.write_table(group.drop_columns(["shard"]).sort_by(order), out)
+        return pa.table({"n": [group.num_rows]})
+
+    rows.groupBy("shard").applyInArrow(write, "n long").agg(F.sum("n")).collect()
+
+
+@query("""
+    WITH meta AS (
+        SELECT o_custkey, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderpriority END AS priority,
+               row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS rn
+        FROM orders)
+    SELECT c_custkey, CAST(c_custkey % 8 AS VARCHAR) AS shard, m.priority AS last_priority
+    FROM customer JOIN meta m ON c_custkey = m.o_custkey AND m.rn = 1""")
+def metadata_files(spark, sf_dir):
+    """One file per shard with repeated keys, nulls and a column ``pos`` of its own that runs backwards."""
+    path = work_dir(spark, "metadata")
+    shard = lambda key: F.expr(f"cast({key} % 8 as string)")
+    _one_file_each(
+        table(spark, sf_dir, "orders").select(
+            shard("o_custkey").alias("shard"), "o_orderkey", F.col("o_custkey").alias("key"), (-F.col("o_orderkey")).alias("pos"),
+            F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderpriority")).alias("priority"),
+        ), path, "o_orderkey")
+    samples = table(spark, sf_dir, "customer").select(shard("c_custkey").alias("shard"), F.col("c_custkey").alias("key"))
+    config = AddFieldsConfig("add_fields", "priority", "last_priority", path)
+    found = add_fields_from_files(samples, config, [str(i) for i in range(8)])
+    return found.select(F.col("key").alias("c_custkey"), "shard", "last_priority")
 
 
 @query("""
@@ -498,8 +539,8 @@ def limit_before_skip(spark, sf_dir):
 
 @query("SELECT DISTINCT source AS shard FROM documents WHERE CAST(substring(source, 4) AS INTEGER) % 3 <> 2")
 def completed_union(spark, sf_dir):
-    shards = _sources(spark, sf_dir)
-    return union_done(_third(shards, 0).union(_third(shards, 0)), _third(shards, 1))
+    shards = table(spark, sf_dir, "documents").select(F.col("source").alias("shard"))
+    return union_done(_third(shards, 0), _third(shards, 1))
 
 
 @query("""
@@ -542,7 +583,7 @@ def caption_roundtrip(spark, sf_dir):
         F.lit("p").alias("prompt"), F.concat("shard", F.lit(".tar")).alias("url"), F.col("lang").alias("source_url"),
     )
     write_rows(rows, path)
-    return read_rows(spark, path)
+    return read_rows(spark, path).select(rows.columns)
 
 
 # --- pixels -----------------------------------------------------------------
@@ -719,6 +760,41 @@ def image_features(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select("vec_id", vector.alias("v")).select("vec_id", *rounded)
 
 
+def joint_encoder():
+    def encode(vectors, texts):
+        return np.stack([vectors.max(axis=1), [len(t) for t in texts]], axis=1)
+
+    return encode
+
+
+def pixel_encoder():
+    def encode(pixels, heights, widths, channels):
+        return np.array([[max(p), h * w * c] for p, h, w, c in zip(pixels, heights, widths, channels)], float)
+
+    return encode
+
+
+@query("""
+    SELECT e.vec_id, round(CAST(list_max(embedding) AS DOUBLE), 6) AS highest, CAST(length(d.text) AS DOUBLE) AS n_chars,
+           CASE WHEN vec_id % 5 <> 0 THEN CAST(list_max([floor((x + 1) * 32) FOR x IN CAST(embedding AS DOUBLE[])]) AS DOUBLE) END AS brightest,
+           CASE WHEN vec_id % 5 <> 0 THEN CAST(192 AS DOUBLE) END AS n_bytes
+    FROM embeddings e JOIN documents d ON e.vec_id = d.doc_id""")
+def joint_features(spark, sf_dir):
+    """Image and text to one encoder, and encoded images to an encoder that decodes them."""
+    raw = F.concat(F.expr(RAW).cast("binary"), _pixels(F.col("embedding")))
+    both = table(spark, sf_dir, "embeddings").join(table(spark, sf_dir, "documents"), F.col("vec_id") == F.col("doc_id"))
+    found = both.select(
+        "vec_id",
+        features(joint_encoder, F.col("embedding"), F.col("text"), input_shapes=[[64], None]).alias("j"),
+        features(pixel_encoder, raw, decode=decode_raw).alias("p"),
+    )
+    known = lambda c: F.when(~F.isnan(c), c)
+    return found.select(
+        "vec_id", F.round(F.col("j")[0].cast("double"), 6).alias("highest"), F.col("j")[1].cast("double").alias("n_chars"),
+        known(F.get("p", 0).cast("double")).alias("brightest"), known(F.get("p", 1).cast("double")).alias("n_bytes"),
+    )
+
+
 # --- scores -----------------------------------------------------------------
 
 
@@ -819,29 +895,123 @@ def declarative_spec(spark, sf_dir):
 
 @query("""
     SELECT source AS shard, CAST(doc_id AS VARCHAR) AS key,
-           md5('Shorten: ' || substring(text, 1, 991)) || ' ' || least(1000, length(text) + 9) AS txt,
-           'Shorten: ' || substring(text, 1, 991) AS prompt
+           md5('Shorten: ' || substring(text, 1, 4087)) || ' ' || least(4096, length(text) + 9) AS txt,
+           'Shorten: ' || substring(text, 1, 4087) AS prompt
     FROM documents""")
 def caption_job(spark, sf_dir):
     out = caption_shards(
         spark, "standin", _text_tars(spark, sf_dir), "Shorten: {txt}", lambda params: standin_model(),
-        output_dir=work_dir(spark, "out"), language_only=True, language_only_key="text", max_model_len=1000,
+        output_dir=work_dir(spark, "out"), language_only=True, language_only_key="text",
     )
     return out.rows.select("shard", "key", "txt", "prompt")
 
 
+def scoring_model(params):
+    def model(prompts, images):
+        return [(f"{p} {int(image.max())}", int(image.max()) / 4) for p, image in zip(prompts, images)]
+
+    return model
+
+
+def same_vector():
+    """Encoder of images and of texts: all alike, so that each caption has an equal share of its batch."""
+
+    def encode(*columns):
+        return np.ones((len(columns[0]), 2))
+
+    return encode
+
+
+def same_text_vector():
+    def encode(text):
+        return np.ones((len(text), 2))
+
+    return encode
+
+
 @query("""
-    SELECT DISTINCT source AS shard, CAST(substring(source, 4) AS INTEGER) % 2 AS taken_in FROM documents""")
-def incremental_intake(spark, sf_dir):
-    """All shards arrive in two deliveries; each is taken once, in its own run."""
-    inbox, base = work_dir(spark, "inbox"), work_dir(spark, "intake")
-    samples = _text_samples(spark, sf_dir)
-    delivery = F.substring("shard", 4, 10).cast("int") % 2
-    for run in (0, 1):
-        write_tars(samples.where(delivery == run), inbox)
+    WITH m AS (
+        SELECT vec_id, label, list_max([CAST(floor((x + 1) * 32) AS INTEGER) FOR x IN CAST(embedding AS DOUBLE[])]) AS top
+        FROM embeddings WHERE vec_id % 5 <> 0)
+    SELECT CAST(label AS VARCHAR) AS shard, 'v' || vec_id AS key, 'Top ' || top AS txt, 'Top' AS prompt,
+           top / 4.0::DOUBLE AS score, CAST(64 AS DOUBLE) AS max_tokens,
+           round(1.0 / least(8, count(*) OVER (PARTITION BY label)), 6)::DOUBLE AS avg_clip_score,
+           (SELECT count(*) FROM embeddings e WHERE e.label = m.label AND vec_id % 5 = 0) AS rejected,
+           (count(*) OVER (PARTITION BY label) + 7) // 8 AS batches
+    FROM m""")
+def caption_images_job(spark, sf_dir):
+    """Tars of encoded images to captions with the model's scores, its parameters and clip scores."""
+    out = caption_shards(
+        spark, "standin", _image_tars(spark, sf_dir), "Top", scoring_model, max_tokens=64, batch_size=8,
+        output_dir=work_dir(spark, "out"), decode=decode_raw, image_encoder=same_vector, text_encoder=same_text_vector,
+    )
+    rows = out.rows.select("shard", "key", "txt", "prompt", "score", F.col("params")["max_tokens"].alias("max_tokens"))
+    average = out.average.withColumn("avg_clip_score", F.round("avg_clip_score", 6))
+    return rows.join(average, "shard").join(out.counts.select("shard", "rejected", "batches"), "shard")
+
+
+def _cut_last_entry(path: str) -> None:
+    """Cut a tar in the middle of its last entry."""
+    fs, inner = split_uri(path)
+    with fs.open_input_stream(inner) as handle:
+        raw = handle.read()
+    *_, (_, offset, size) = Headers(io.BytesIO(raw), len(raw))
+    with fs.open_output_stream(inner) as out:
+        out.write(raw[:offset + size // 2])
+
 
-        def process(shards, run=run):
-            shards.select("shard", F.lit(run).alias("taken_in")).write.mode("append").parquet(f"{base}/taken")
+@query("""
+    WITH d AS (
+        SELECT *, CAST(substring(source, 4) AS INTEGER) % 3 = 0 AS damaged FROM documents)
+    SELECT source AS shard, count(*) AS rows_in, count_if(doc_id % 7 <> 0 AND doc_id % 11 <> 0) AS rows_out,
+           count_if(doc_id % 7 <> 0 AND doc_id % 11 = 0) AS rejected, any_value(damaged) AS damaged
+    FROM d GROUP BY source""")
+def shard_damage(spark, sf_dir):
+    """Shards cut in their last entry (a caption), samples without metadata and with broken metadata, all accounted for."""
+    path = work_dir(spark, "tars")
+    meta = F.when(F.col("doc_id") % 7 != 0, F.when(F.col("doc_id") % 11 == 0, F.lit("{broken")).otherwise(F.to_json(F.struct("lang"))))
+    write_tars(
+        table(spark, sf_dir, "documents").select(
+            F.col("source").alias("shard"), F.col("doc_id").alias("pos"), F.col("doc_id").cast("string").alias("key"),
+            F.create_map(
+                F.lit("txt"), F.concat(F.lit("."), F.col("text")).cast("binary"), F.lit("jpg"), F.lit("image").cast("binary"),
+                F.lit("info.json"), meta.cast("binary"),
+            ).alias("parts"),
+        ), path)
+    for row in list_shards(spark, path).where("cast(substring(shard, 4) as int) % 3 = 0").collect():
+        _cut_last_entry(row.path)
+    spec = {"data_path": path, "output_dir": work_dir(spark, "out"), "batch_size": 32, "num_workers": 1, "meta_key": "info.json", "img_key": "jpg"}
+    counts = run_spec(spark, spec).counts
+    return counts.select("shard", "rows_in", "rows_out", "rejected", F.col("damage").isNotNull().alias("damaged"))
 
-        process_new_shards(spark, inbox, f"{base}/checkpoint", process).awaitTermination()
-    return spark.read.parquet(f"{base}/taken")
+
+@query("""
+    SELECT CAST(doc_id % 2 AS VARCHAR) AS shard, CAST(doc_id AS VARCHAR) AS key, lang AS txt,
+           (row_number() OVER (PARTITION BY doc_id % 2 ORDER BY doc_id) - 1) // 32 AS batch_id,
+           count(*) OVER (PARTITION BY doc_id % 2) AS rows_in, count(*) OVER (PARTITION BY doc_id % 2) AS rows_out
+    FROM documents""")
+def incremental_intake(spark, sf_dir):
+    """Two shards of two files arrive file by file and are processed as they do, the last batch twice."""
+    inbox, base = work_dir(spark, "inbox"), work_dir(spark, "intake")
+    samples = _text_samples(spark, sf_dir).withColumn("shard", F.expr("cast(pos % 2 as string)"))
+    middle = samples.agg((F.max("pos") / 2).cast("long")).first()[0]
+    # Written apart and then put together: the second half of a shard is its second file.
+    halves = [work_dir(spark, "half") for _ in range(2)]
+    for half, path in enumerate(halves):
+        write_tars(samples.where((F.col("pos") > middle) == bool(half)), path)
+        fs, inner = split_uri(path)
+        for name in ("0", "1"):
+            fs.move(f"{inner}/{name}.tar", f"{split_uri(inbox)[1]}/{name}{'~00001' * half}.tar")
+    spec = {"data_path": inbox, "output_dir": f"{base}/out", "batch_size": 32, "num_workers": 1, "meta_key": "info.json", "img_key": "jpg", "txt_key": "lang"}
+    taken = []
+
+    def process(shards):
+        names = spark.createDataFrame([(r.shard,) for r in shards.select("shard").distinct().collect()], "shard string")
+        run_spec(spark, spec, shards=names)
+        taken.append(names)
+
+    process_new_shards(spark, inbox, f"{base}/checkpoint", process, max_files=1).awaitTermination()
+    run_spec(spark, spec, shards=taken[-1])
+    rows = read_rows(spark, f"{base}/out/rows", KEY_ROW).select("shard", "key", "txt", "batch_id")
+    counts = read_manifest(spark, f"{base}/out").select("shard", "rows_in", "rows_out")
+    return rows.join(counts, "shard")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
@@ -16,10 +17,11 @@ from tarweave.operators.filters import build_filters, need_pixels
 from tarweave.operators.mappers import apply_mappers, mapper_configs
 from tarweave.operators.ordering import assign_batches, preview_grid
 from tarweave.operators.samples import RENAME_ORDER
-from tarweave.plans.reading import found_samples, manifest_counts, shards_to_do, usable_samples, with_contents
-from tarweave.session import split_uri, stage
-from tarweave.sources.captions import add_manifest, read_manifest, read_rows, write_rows
-from tarweave.sources.tar import fetch_parts, fetch_tasks, lay_out, write_laid_out
+from tarweave.plans.reading import found_samples, manifest_counts, shards_to_do, usable_samples, whole_shards, with_contents
+from tarweave.schemas import REJECT
+from tarweave.session import keep, scratch, split_uri, stage
+from tarweave.sources.captions import REJECTS_DIR, add_manifest, adopt, read_manifest, read_rows, withdraw, write_rows
+from tarweave.sources.tar import fetch_parts, fetch_tasks, lay_out, remove_tars, write_laid_out
 
 KEY_ROW = T.StructType([
     T.StructField("key", T.StringType()),
@@ -87,7 +89,7 @@ def tar_rows(kept: DataFrame, spec: Spec, extra: list[str], tasks: int) -> DataF
     """
     fields = {name: F.col(f"`{MAPPED}{name}`") for name in extra}
     slim = kept.select("shard", "pos", "key", "url", *fields.values(), F.col("extents").alias("parts"))
-    read = fetch_parts(lay_out(slim, tasks))
+    read = fetch_parts(lay_out(slim, tasks), strict=True)
     part = F.col("parts")
     image = F.coalesce(*[F.try_element_at("parts", F.lit(s)) for s in RENAME_ORDER])
     named = {spec.img_key: image, spec.meta_key: F.try_element_at("parts", F.lit(spec.meta_key))}
@@ -106,57 +108,80 @@ def run_spec(
     limit: int | None = None,
     keep_partial: bool = True,
     shards: DataFrame | None = None,
+    retry_rejected: bool = False,
 ) -> Outcome:
     """Run one specification over the shards not yet done.
 
     ``decode`` is the image codec plug-in; filters that look at pixels need it.
-    Pass ``shards`` (``shard, path, bytes``) to process just these.
+    Pass ``shards`` (with a column ``shard``) to process just these, whole,
+    whether done before or not. Their outputs are replaced, and the manifest
+    has a new line for each. Rejected samples and damaged files are recorded
+    beside the outputs; ``retry_rejected`` takes shards with such again.
+    ``debug`` gives the first batch of every shard and writes no output.
     """
+    started = time.monotonic()
     spec = source if isinstance(source, Spec) else load_spec(source)
     if spec.filter_functions and decode is None:
         raise ValueError("filters look at pixels: pass a decode function")
-    if shards is None:
-        shards = shards_to_do(spark, spec.data_path, spec.output_dir, limit)
-    tasks = fetch_tasks(shards)
-    samples = found_samples(shards)
-    # Filters cannot see a mapper's output and both only drop rows, so the join
-    # runs first, on rows without pixels.
-    mapped, extra = apply_mappers(usable_samples(samples, spec.meta_key), spec.mapper_functions)
-    mapped = mapped.withColumnsRenamed({name: MAPPED + name for name in extra})
-
-    seen = Observation()
-    read = with_contents(
-        mapped,
-        tasks,
-        decode,
-        image=decode is not None,
-        pixels=need_pixels(spec.filter_functions),
-        measure=bool(spec.filter_functions),
-    )
-    judged = judge(read, spec).observe(
-        seen,
-        F.count(F.lit(1)).alias("samples"),
-        F.count_if(F.col("error").isNotNull()).alias("failed"),
-        F.count_if("passes").alias("kept"),
-    )
-    judged = stage(judged, "judged")
-
-    kept = assign_batches(judged.where("passes"), spec.batch_size, keep_partial)
-    if debug:
-        kept = kept.where("batch_id = 0")
-    kept = kept.withColumn("txt", caption_from_meta(F.col("json"), spec.txt_key))
-    if spec.save_tar or spec.make_visualization:
-        kept = stage(kept, "kept")
-
-    rows_path = f"{spec.output_dir.rstrip('/')}/rows"
-    write_rows(kept, rows_path, KEY_ROW)
-    if spec.save_tar:
-        write_laid_out(tar_rows(kept, spec, extra, tasks), spec.output_dir)
-    add_manifest(manifest_counts(shards, samples, kept), spec.output_dir)
-    return Outcome(
-        rows=read_rows(spark, rows_path, KEY_ROW),
-        rejects=judged.where(F.col("error").isNotNull()).select("shard", "pos", "key", "error"),
-        counts=read_manifest(spark, spec.output_dir),
-        preview=preview_grid(kept, "key", spec.batch_size) if spec.make_visualization else None,
-        seen=seen.get,
-    )
+    with scratch() as made:
+        if not debug:
+            adopt(spark, spec.output_dir)
+        if shards is None:
+            shards = shards_to_do(spark, spec.data_path, spec.output_dir, limit, retry_rejected)
+        else:
+            shards = whole_shards(spark, spec.data_path, shards)
+        names = sorted({r.shard for r in shards.select("shard").distinct().collect()})
+        tasks = fetch_tasks(shards)
+        samples, damage = found_samples(shards)
+        # Filters cannot see a mapper's output and both only drop rows, so the join
+        # runs first, on rows without pixels.
+        mapped, extra = apply_mappers(usable_samples(samples, spec.meta_key), spec.mapper_functions, names)
+        mapped = mapped.withColumnsRenamed({name: MAPPED + name for name in extra})
+
+        seen = Observation()
+        read = with_contents(
+            mapped,
+            tasks,
+            decode,
+            image=decode is not None,
+            pixels=need_pixels(spec.filter_functions),
+            measure=bool(spec.filter_functions),
+        )
+        judged = judge(read, spec).observe(
+            seen,
+            F.count(F.lit(1)).alias("samples"),
+            F.count_if(F.col("error").isNotNull()).alias("failed"),
+            F.count_if("passes").alias("kept"),
+        )
+        judged = stage(judged, "judged")
+        rejects = judged.where(F.col("error").isNotNull()).select("shard", "pos", "key", "error")
+
+        kept = assign_batches(judged.where("passes"), spec.batch_size, keep_partial)
+        if debug:
+            kept = kept.where("batch_id = 0")
+        kept = stage(kept.withColumn("txt", caption_from_meta(F.col("json"), spec.txt_key)), "kept")
+        preview = keep(made, stage(preview_grid(kept, "key", spec.batch_size), "preview")) if spec.make_visualization else None
+
+        base = spec.output_dir.rstrip("/")
+        if debug:
+            return Outcome(
+                rows=keep(made, stage(kept.select("shard", *KEY_ROW.fieldNames()), "rows")),
+                rejects=keep(made, stage(rejects, "rejects")),
+                counts=read_manifest(spark, base),
+                preview=preview,
+                seen=seen.get,
+            )
+        withdraw(spark, base, names)
+        write_rows(kept, f"{base}/rows", KEY_ROW, shards=names)
+        write_rows(rejects, f"{base}/{REJECTS_DIR}", REJECT, shards=names)
+        if spec.save_tar:
+            remove_tars(base, set(names))
+            write_laid_out(tar_rows(kept, spec, extra, tasks), base)
+        add_manifest(manifest_counts(shards, samples, kept, rejects, damage, spec.batch_size, time.monotonic() - started), base)
+        return Outcome(
+            rows=read_rows(spark, f"{base}/rows", KEY_ROW),
+            rejects=read_rows(spark, f"{base}/{REJECTS_DIR}", REJECT),
+            counts=read_manifest(spark, base),
+            preview=preview,
+            seen=seen.get,
+        )

@@ -29,10 +29,24 @@ CAPTION = T.StructType([
     T.StructField("key", T.StringType()),
     T.StructField("pos", T.LongType()),
     T.StructField("source_url", T.StringType()),
+    T.StructField("score", T.DoubleType()),
+    T.StructField("params", T.MapType(T.StringType(), T.DoubleType())),
 ])
 
+# One line for each run that read a shard; of several the latest counts.
 MANIFEST = T.StructType([
     T.StructField("shard", T.StringType()),
     T.StructField("rows_in", T.LongType()),
     T.StructField("rows_out", T.LongType()),
+    T.StructField("rejected", T.LongType()),
+    T.StructField("batches", T.LongType()),
+    T.StructField("damage", T.StringType()),
+    T.StructField("seconds", T.DoubleType()),
+    T.StructField("written", T.LongType()),
+])
+
+REJECT = T.StructType([
+    T.StructField("pos", T.LongType()),
+    T.StructField("key", T.StringType()),
+    T.StructField("error", T.StringType()),
 ])

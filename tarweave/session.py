@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import io
 import os
+import re
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow.fs as pafs
 from pyarrow.fs import FileSystem, LocalFileSystem
@@ -49,29 +52,74 @@ def is_dir(path: str) -> bool:
     return fs.get_file_info(inner).type == pafs.FileType.Directory
 
 
-def work_dir(spark: SparkSession, label: str) -> str:
-    """A new folder under ``spark.checkpoint.dir``, the folder all executors share.
+#: Folders made under the shared folder by the jobs that are running, innermost last.
+_scratch: list[list[str]] = []
+
 
-    Only a local master may leave that setting out; it then gets a folder of
-    its own for the lifetime of the session.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``.
+
+    Only a master in this one process may leave that setting out; it then gets a
+    folder of its own for the lifetime of the session. On a cluster the setting
+    has to name a file system, as a plain path would be each machine's own.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    alone = re.fullmatch(r"local(\[.*\])?", sc.master)
     if not base:
-        if not sc.master.startswith("local"):
+        if not alone:
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         base = tempfile.mkdtemp(prefix="tarweave-")
         sc.setCheckpointDir(base)
-    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if not alone and not re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", base):
+        raise ValueError(f"spark.checkpoint.dir {base!r} names no file system; a shared folder mounted everywhere is file://...")
+    return base.rstrip("/")
+
+
+def work_dir(spark: SparkSession, label: str) -> str:
+    """A new folder under the folder that all executors share."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
     make_dir(path)
+    if _scratch:
+        _scratch[-1].append(path)
     return path
 
 
+def remove_dir(path: str) -> None:
+    fs, inner = split_uri(path)
+    if fs.get_file_info(inner).type == pafs.FileType.Directory:
+        fs.delete_dir(inner)
+
+
+@contextmanager
+def scratch() -> Iterator[list[str]]:
+    """Delete the work folders made inside once it ends, whatever happens.
+
+    Tables that the caller still holds are taken off the list it is given.
+    """
+    made: list[str] = []
+    _scratch.append(made)
+    try:
+        yield made
+    finally:
+        _scratch.remove(made)
+        for path in made:
+            remove_dir(path)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared work folder and read back: cuts the lineage for good."""
     path = work_dir(df.sparkSession, label)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    staged._staged_at = path
+    return staged
+
+
+def keep(made: list[str], staged: DataFrame) -> DataFrame:
+    """Leave a staged table to the caller of a job: it is not deleted with the job's ``scratch``."""
+    made.remove(staged._staged_at)
+    return staged
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -87,7 +135,10 @@ def ship_package(spark: SparkSession) -> None:
                 if name.endswith(".py"):
                     full = os.path.join(folder, name)
                     archive.write(full, os.path.relpath(full, os.path.dirname(root)))
-    target = f"{work_dir(spark, 'package')}/tarweave.zip"
+    # Not a job's scratch: the application needs it as long as it runs.
+    folder = f"{shared_folder(spark)}/package-{uuid.uuid4().hex}"
+    make_dir(folder)
+    target = f"{folder}/tarweave.zip"
     fs, inner = split_uri(target)
     with fs.open_output_stream(inner) as out:
         out.write(buffer.getvalue())

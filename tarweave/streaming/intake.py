@@ -35,9 +35,10 @@ def process_new_shards(
 ) -> StreamingQuery:
     """Run ``process(shards)`` on everything that arrived since the last call.
 
-    The stream's checkpoint remembers the shards taken. A batch that fails is
-    offered again, so ``process`` should replace its outputs, as the sinks here
-    do, rather than add to them.
+    The stream's checkpoint remembers the files taken. A batch that fails is
+    offered again, and a shard whose files arrive in several batches comes in
+    each of them, so ``process`` should replace its outputs by those of the whole
+    shard. The jobs do that when they are given ``shards``.
     """
     ship_package(spark)
 

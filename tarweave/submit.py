@@ -54,6 +54,7 @@ def parser() -> argparse.ArgumentParser:
         job.add_argument("--debug", action="store_true")
         job.add_argument("--limit", type=int)
         job.add_argument("--drop-tail", dest="keep_partial", action="store_false")
+        job.add_argument("--retry-rejected", action="store_true")
     return top
 
 

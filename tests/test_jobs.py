@@ -12,6 +12,9 @@ from helpers import ppm, read_ppm, sample, solid, write_tar
 from pyspark.sql import functions as F
 
 from tarweave import submit
+from tarweave.session import shared_folder, split_uri
+from tarweave.sources import tar
+from tarweave.sources.tar import index_entries, list_shards
 from tarweave.operators.filters import FILTERS, register_filter
 from tarweave.plans.captioning import caption_shards, prompt_for
 from tarweave.plans.spec import load_spec, run_spec
@@ -218,5 +221,111 @@ def test_command_line(spark, data, tmp_path, capsys):
     submit.main(["process", str(path), "--decode", "helpers:read_ppm", "--limit", "1", "--drop-tail"])
     assert "'kept': 9" in capsys.readouterr().out
     submit.main(["caption", "--model-path", "m", "--data-path", data, "--output-dir", str(tmp_path / "c"), "--prompt", "p",
-                 "--model", "test_jobs:make_model", "--decode", "helpers:read_ppm", "--limit", "1", "--debug", "--batch-size", "4"])
+                 "--model", "test_jobs:make_model", "--decode", "helpers:read_ppm", "--limit", "1", "--batch-size", "4"])
     assert len(os.listdir(tmp_path / "c" / "rows" / "shard=00000")) > 0
+
+
+def test_debug_finishes_nothing(spark, data, tmp_path):
+    config = spec(data, tmp_path, save_tar=True)
+    assert run_spec(spark, config, decode=read_ppm, debug=True).rows.count() == 5
+    assert not os.path.exists(config["output_dir"])
+    assert run_spec(spark, config, decode=read_ppm).seen["samples"] == 12
+
+
+def test_replaced_shards_leave_nothing_behind(spark, data, tmp_path, monkeypatch):
+    monkeypatch.setattr(tar, "FILE_BLOCK", 8)
+    config = spec(data, tmp_path, save_tar=True)
+    monkeypatch.setattr(tar.lay_out, "__defaults__", (700,))
+    run_spec(spark, config, decode=read_ppm)
+    out = config["output_dir"]
+    assert "00000~00001.tar" in os.listdir(out) and "00001.tar" in os.listdir(out)
+    # Of the first shard one sample is left, of the second none.
+    write_tar(data, "00000.tar", sample("a1", solid(1, 0.1), {"caption": "new"}))
+    write_tar(data, "00001.tar", sample("z", b"no image", {"caption": "z"}))
+    again = run_spec(spark, config, decode=read_ppm, shards=spark.createDataFrame([("00000",), ("00001",)], "shard string"))
+    assert sorted((r.shard, r.key) for r in again.rows.collect()) == [("00000", "a1")]
+    assert {(r.shard, r.key) for r in again.rejects.collect()} == {("00001", "z")}
+    assert sorted(f for f in os.listdir(out) if f.endswith(".tar")) == ["00000.tar"]
+    lines = {r.shard: (r.rows_in, r.rows_out, r.rejected, r.batches, r.damage is None) for r in again.counts.collect()}
+    assert lines == {"00000": (1, 1, 0, 1, True), "00001": (1, 0, 1, 0, True), "empty": (0, 0, 0, 0, True), "00002": (0, 0, 0, 0, False)}
+    assert run_spec(spark, config, decode=read_ppm).seen["samples"] == 0
+    write_tar(data, "00001.tar", sample("z", solid(60, 1.0), {"caption": "z"}))
+    assert run_spec(spark, config, decode=read_ppm, retry_rejected=True).rows.count() == 2
+
+
+def test_files_of_a_shard_that_arrive_apart(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    write_tar(folder, "s~00001.tar", [e for i in range(3, 6) for e in sample(f"k{i}", solid(i, 0.1), {"i": i})])
+    config = spec(str(folder), tmp_path)
+    process = lambda shards: run_spec(spark, config, shards=shards)
+    process_new_shards(spark, str(folder), str(tmp_path / "check"), process).awaitTermination()
+    write_tar(folder, "s.tar", [e for i in range(3) for e in sample(f"k{i}", solid(i, 0.1), {"i": i})])
+    process_new_shards(spark, str(folder), str(tmp_path / "check"), process).awaitTermination()
+    out = run_spec(spark, config)
+    assert sorted(r.key for r in out.rows.collect()) == [f"k{i}" for i in range(6)]
+    assert [(r.shard, r.rows_in, r.rows_out) for r in out.counts.collect()] == [("s", 6, 6)]
+
+
+def test_shards_without_metadata_are_an_error(spark, data, tmp_path):
+    meta = tmp_path / "meta"
+    meta.mkdir()
+    pd.DataFrame({"key": ["a0"], "txt": ["x"]}).to_parquet(meta / "00000.parquet")
+    mapper = {"type": "add_fields", "input_key": "txt", "output_key": "short", "metadata_path": str(meta)}
+    config = spec(data, tmp_path, mapper_functions=[mapper])
+    with pytest.raises(FileNotFoundError, match="00001"):
+        run_spec(spark, config)
+    assert run_spec(spark, config, limit=1).rows.count() == 1
+
+
+def test_file_systems_that_fail_finish_nothing(spark, data, tmp_path):
+    config = spec(data, tmp_path)
+    gone = list_shards(spark, data).withColumn("path", F.concat("path", F.lit("x")))
+    with pytest.raises(Exception, match="Unreadable"):
+        index_entries(gone).count()
+    missing = spark.createDataFrame([("s", 0, "k", data + "/none.tar", {"jpg": (0, 5)})],
+                                    "shard string, pos long, key string, url string, parts map<string,struct<offset:long,size:long>>")
+    with pytest.raises(Exception, match="Unreadable"):
+        tar.fetch_parts(missing, 1).count()
+    cut = missing.withColumn("url", F.lit(data + "/empty.tar")).withColumn("parts", F.expr("map('jpg', named_struct('offset', 20000L, 'size', 5L))"))
+    assert tar.fetch_parts(cut, 1).first().parts["jpg"] is None
+    with pytest.raises(Exception, match="has no 5 bytes"):
+        tar.fetch_parts(cut, 1, strict=True).count()
+    assert not os.path.exists(config["output_dir"])
+
+
+def test_tar_tasks_that_fail_leave_no_files(spark, tmp_path):
+    rows = spark.range(40).selectExpr("'s' AS shard", "0 AS tar_part", "cast(id AS string) AS key",
+                                      "map('txt', CASE WHEN id < 30 THEN X'41' ELSE cast(raise_error('broken') AS binary) END) AS parts")
+    with pytest.raises(Exception, match="broken"):
+        tar.write_laid_out(rows.coalesce(1), str(tmp_path / "t"))
+    assert [f for f in os.listdir(tmp_path / "t") if not f.endswith(".tar")] == []
+
+
+def test_jobs_leave_no_work_folders(spark, data, tmp_path):
+    base = split_uri(shared_folder(spark))[1]
+    before = set(os.listdir(base))
+    out = run_spec(spark, spec(data, tmp_path, filter_functions=MONO, save_tar=True), decode=read_ppm)
+    caption_shards(spark, "m", data, "p", make_model, output_dir=str(tmp_path / "c"), decode=read_ppm)
+    # The package, which the application keeps, may be among them.
+    assert [f for f in set(os.listdir(base)) - before if not f.startswith("package-")] == []
+    assert out.rows.count() == 8
+
+
+def test_each_run_has_its_own_model(spark, data, tmp_path):
+    def answer(text):
+        return lambda params: lambda prompts, images: [text] * len(prompts)
+
+    found = []
+    for name in ("one", "two"):
+        out = caption_shards(spark, "m", data, "p", answer(name), output_dir=str(tmp_path / name), language_only=True, language_only_key="caption", limit=1)
+        found.append({r.txt for r in out.rows.collect()})
+    assert found == [{"one"}, {"two"}]
+
+
+def test_scores_and_parameters_are_in_the_rows(spark, data, tmp_path):
+    scored = lambda params: lambda prompts, images: [("t", 0.25)] * len(prompts)
+    out = caption_shards(spark, "m", data, "p", scored, output_dir=str(tmp_path / "o"), decode=read_ppm, backend="open_clip", max_tokens=7)
+    assert {(r.score, tuple(sorted(r.params.items()))) for r in out.rows.collect()} == {(0.25, (("max_seq_len", 7.0), ("temperature", 0.6)))}
+    plan = out.rows._jdf.queryExecution().toString()
+    assert "image" not in plan

@@ -74,7 +74,7 @@ def test_hot_key_lookup(spark, how):
                                    .alias("key"), "id")
     keys = [("hot", 1)] + [(f"k{i}", i) for i in range(40)]
     right = spark.createDataFrame(keys, "key string, v int")
-    got = sorted(map(tuple, lookup(left, right, ["key"], how, hot_rows=20, salts=4).select("id", "key", "v").collect()),
+    got = sorted(map(tuple, lookup(left, right, ["key"], how).select("id", "key", "v").collect()),
                  key=str)
     want = sorted(map(tuple, left.join(right, "key", how).select("id", "key", "v").collect()), key=str)
     assert got == want
