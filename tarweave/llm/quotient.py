@@ -21,7 +21,7 @@ from tarweave.llm.common import lower_ascii, small_or_shuffled, stage
 from tarweave.llm.words import ragged
 from tarweave.session import ship_package
 
-#: Dropped rows up to which their keys are broadcast (16 bytes each); beyond, the join shuffles.
+#: Repeated fingerprints, or dropped rows, up to which their keys are broadcast (16 bytes each); beyond, the join shuffles.
 BROADCAST_ROWS = 200_000
 
 
@@ -123,7 +123,7 @@ def exact_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         .groupBy("id", "fp", "sha").agg(F.count("*").alias("n")),
         "prints",
     )
-    repeated = repeated_fingerprints(rows)
+    repeated = small_or_shuffled(stage(repeated_fingerprints(rows), "repeated"), BROADCAST_ROWS)
     # The comparison: texts themselves are the key, so unequal texts with one fingerprint part.
     groups = (
         df.select(F.col(id_col).alias("id"), text.alias("norm"))
