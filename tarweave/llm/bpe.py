@@ -32,12 +32,12 @@ from tarweave.llm.words import ragged
 #: Pieces that one recursive query encodes; its rows fit in MEMORY.
 PIECES = 8_000
 #: Pieces and chunks that a worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 600_000
 #: Beyond so many bytes a piece is merged with a heap, as one contraction a step costs the square of its length.
 LONG_PIECE = 400
 MEMORY = "200MB"
 #: Token rows that one decoding query handles.
-DECODE_ROWS = 1_000_000
+DECODE_ROWS = 250_000
 
 _ENCODE = """
 WITH RECURSIVE t(w, pos, nxt, id, step) AS (
@@ -261,3 +261,19 @@ def decode(ids: Column, path: str) -> Column:
             yield pa.array(tokens.decode(flat, lengths), pa.binary())
 
     return raw(ids)
+
+
+def round_trip(text: Column, path: str, pattern: str, block: int = 4 << 20) -> Column:
+    """``struct<ids array<int>, raw binary>``: what ``encode`` gives and what ``decode`` makes of it, in one Python worker."""
+
+    @F.arrow_udf("struct<ids: array<int>, raw: binary>")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder, tokens = _encoder(path, pattern), vocabulary(path)
+        for texts in batches:
+            parts, raw = [], []
+            for part in text_blocks(texts, block):
+                parts.append(encoder.encode(part))
+                raw += tokens.decode(*parts[-1])
+            yield pa.StructArray.from_arrays([id_lists(parts), pa.array(raw, pa.binary())], ["ids", "raw"])
+
+    return both(text)

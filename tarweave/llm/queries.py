@@ -49,12 +49,12 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     ship_package(spark)
-    docs = table(spark, sf_dir, "documents").select("doc_id", bpe.encode(F.col("text"), path, public_tokenizers.PATTERN).alias("ids"))
-    return docs.withColumn("decoded", bpe.decode(F.col("ids"), path)).select(
+    docs = table(spark, sf_dir, "documents").select("doc_id", bpe.round_trip(F.col("text"), path, public_tokenizers.PATTERN).alias("t"))
+    return docs.select(
         "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.size("t.ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("t.ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("t.raw", 256).alias("decoded_sha256"),
     )
 
 

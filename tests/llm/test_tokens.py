@@ -62,6 +62,9 @@ def test_round_trip_with_nulls_and_other_columns(spark):
     out = df.withColumn("ids", bpe.encode(F.col("text"), RANKS, public_tokenizers.PATTERN)).withColumn("raw", bpe.decode(F.col("ids"), RANKS))
     got = sorted((r.text or "", bytes(r.raw).decode()) for r in out.collect())
     assert got == sorted((t or "", t or "") for _, t, _ in rows)
+    both = df.withColumn("t", bpe.round_trip(F.col("text"), RANKS, public_tokenizers.PATTERN)).collect()
+    assert sorted((r.text or "", bytes(r.t.raw).decode()) for r in both) == got
+    assert sorted(tuple(r.t.ids) for r in both) == sorted(tuple(r.ids) for r in out.collect())
     nothing = spark.createDataFrame([], "ids array<int>")
     assert nothing.select(bpe.decode(F.col("ids"), RANKS)).count() == 0
     assert bytes(spark.createDataFrame([(None,)], "ids array<int>").select(bpe.decode(F.col("ids"), RANKS)).first()[0]) == b""
