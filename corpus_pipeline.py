@@ -46,9 +46,9 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     ship_package(spark)
-    found = docs.withColumn("ids", bpe.encode(F.col("text"), path, public_tokenizers.PATTERN))
-    same = bpe.decode(F.col("ids"), path) == F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    return found.select("doc_id", "source", "lang", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
+    found = docs.withColumn("t", bpe.round_trip(F.col("text"), path, public_tokenizers.PATTERN))
+    same = F.col("t.raw") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    return found.select("doc_id", "source", "lang", F.size("t.ids").cast("long").alias("n_tokens"), "t.ids", same.alias("round_trip"))
 
 
 STAGES = [
