@@ -39,3 +39,16 @@ def components(links: DataFrame) -> DataFrame:
         )
         links = stage(links, "links")
     return labels
+
+
+def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (``node, root``) after more links: only the classes that these touch are contracted."""
+    end = lambda c: labels.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
+    between = (
+        links.select("a", "b").join(end("a"), "a", "left").join(end("b"), "b", "left")
+        .select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b"))
+    )
+    merged = components(between)
+    moved = labels.join(merged.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left")
+    new = merged.join(labels, "node", "left_anti").select("node", "root")
+    return stage(moved.select("node", F.coalesce("top", "root").alias("root")).union(new), "labels")

@@ -9,8 +9,8 @@ verified by their weighted Jaccard similarity, SIMILARITY or more.
 Equal texts are one node from the start. In a bucket not all pairs are compared:
 its members are compared with a leader; two of which each is linked with the
 leader are in one class already. What is left goes round by round: of members
-that may still be linked with another class, some lead again, twice as many each
-round, and are compared with those members only whose distance to the first
+that may still be linked with another class, some lead again, eight times as many
+each round, and are compared with those members only whose distance to the first
 leader differs by no more than the distance allowed (that distance is a metric,
 so others cannot be near). When no bucket has two such members any more, every
 pair of a bucket has been decided.
@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarweave.llm.common import pair_texts, small_or_shuffled, stage
-from tarweave.llm.graph import components
+from tarweave.llm.graph import components, joined
 from tarweave.llm.spans import text_slices
 from tarweave.llm.words import find_words, mix, shingles
 from tarweave.session import ship_package
@@ -199,8 +199,8 @@ def _verified(pairs: DataFrame, nodes: DataFrame, weights: np.ndarray) -> DataFr
     return pair_texts(pairs, nodes).mapInArrow(compare, "a binary, b binary, far double")
 
 
-def near_links(nodes: DataFrame, weights: np.ndarray, similarity: float = SIMILARITY) -> DataFrame:
-    """``a, b``: verified links by which all near copies among ``nodes`` (``node, text``) hang together."""
+def near_classes(nodes: DataFrame, weights: np.ndarray, similarity: float = SIMILARITY) -> DataFrame:
+    """``node, root`` of the ``nodes`` (``node, text``) that have near copies: one root for all that hang together."""
     limit = 1 - similarity + 1e-12
     found = _buckets(nodes, weights)
     members = stage(found.distinct(), "buckets")
@@ -208,22 +208,21 @@ def near_links(nodes: DataFrame, weights: np.ndarray, similarity: float = SIMILA
     members = stage(members.join(leaders, "bucket"), "members")
     pairs = members.where("node != lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
     far = stage(_verified(pairs, nodes, weights), "distances")
-    links = far.where(F.col("far") <= limit).select("a", "b")
-    labels = components(links)
+    labels = components(far.where(F.col("far") <= limit).select("a", "b"))
     # Members that a bucket's first leader did not decide: with their distance to it. The leader itself is done.
     open_ = (
         members.where("node != lead")
         .join(far.select(F.col("a").alias("lead"), F.col("b").alias("node"), "far"), ["lead", "node"])
         .select("bucket", "node", "far")
     )
-    width = 1
+    width = 8
     while True:
         marked = open_.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
         classes = marked.groupBy("bucket", "root").agg(F.count("*").alias("size"))
         several = classes.groupBy("bucket").agg(F.count("*").alias("k"), F.max(F.struct("size", "root")).alias("most")).where("k > 1")
         open_ = stage(marked.join(several.select("bucket", F.col("most.root").alias("largest")), "bucket"), "open")
         if open_.isEmpty():
-            return links
+            return labels
         # Leaders come from all classes but the largest of the bucket: then only that one is left at last.
         turn = Window.partitionBy("bucket").orderBy("node")
         lead = (
@@ -238,10 +237,10 @@ def near_links(nodes: DataFrame, weights: np.ndarray, similarity: float = SIMILA
             .distinct()
         )
         more = stage(_verified(pairs, nodes, weights).where(F.col("far") <= limit).select("a", "b"), "more")
-        links = stage(links.union(more), "links")
-        labels = components(links)
+        if not more.isEmpty():
+            labels = joined(labels, more)
         open_ = open_.select("bucket", "node", "far").join(lead.select("bucket", F.col("lead").alias("node")), ["bucket", "node"], "left_anti")
-        width *= 2
+        width *= 8
 
 
 def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -257,7 +256,7 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     text = F.coalesce(F.col(text_col), F.lit(""))
     weights = rarity(df, text_col)
     rows = stage(df.select(F.col(id_col).alias("id"), node_of(F.col(text_col)).alias("node")).groupBy("id", "node").agg(F.count("*").alias("n")), "nodes")
-    labels = components(near_links(df.select(node_of(F.col(text_col)).alias("node"), text.alias("text")), weights, similarity))
+    labels = near_classes(df.select(node_of(F.col(text_col)).alias("node"), text.alias("text")), weights, similarity)
     rooted = stage(rows.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
     classes = rooted.groupBy("root").agg(
         F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node")).alias("first"), F.sum("n").alias("class_size")

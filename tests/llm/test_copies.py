@@ -155,6 +155,9 @@ def test_components(spark):
     got = {r.node: r.root for r in graph.components(spark.createDataFrame(links, "a long, b long")).collect()}
     links = [(a, b) for a, b in links if a != b]
     want = classes(links, sorted({n for link in links for n in link}))
+    frame = lambda part: spark.createDataFrame(part, "a long, b long")
+    later = {r.node: r.root for r in graph.joined(graph.components(frame(links[:200])), frame(links[200:])).collect()}
+    assert len({(got[n], later[n]) for n in got}) == len(set(got.values())) and later.keys() == got.keys()
     by = defaultdict(set)
     for n, r in got.items():
         by[r].add(n)
