@@ -24,7 +24,7 @@ from tarweave.llm.words import find_words, text_bytes
 TRAIN_DOCS = 3_000
 #: Longer documents are scored like all others but not fitted on.
 TRAIN_LINES = 60
-TRAIN_BYTES = 50_000
+TRAIN_BYTES = 20_000
 THRESHOLD = 0.7
 STEPS = 150
 RIDGE = 1e-4
@@ -179,10 +179,13 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     # TRAIN_DOCS rows at most: small enough to broadcast.
     sample = F.broadcast(known.orderBy(F.xxhash64("_id"), "_id").limit(TRAIN_DOCS))
     text = F.coalesce(F.col(text_col), F.lit(""))
-    short = (F.octet_length(text) <= TRAIN_BYTES) & (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) < TRAIN_LINES)
+    breaks = F.length("_text") - F.length(F.replace("_text", F.lit("\n"), F.lit("")))
     rows = (
-        df.where(short).select(F.col(id_col).alias("_id"), text.alias("_text")).join(sample, "_id")
-        .groupBy("_id", "_label").agg(F.max("_text").alias("_text")).orderBy("_id").toArrow()
+        df.select(F.col(id_col).alias("_id"), text.alias("_text")).join(sample, "_id")
+        .groupBy("_id", "_label").agg(F.max("_text").alias("_text"))
+        # After the aggregation, so that only texts of the sample are measured.
+        .where((F.octet_length("_text") <= TRAIN_BYTES) & (breaks < TRAIN_LINES))
+        .orderBy("_id").toArrow()
     )
     truth = rows.column("_label").to_numpy()
     if len(set(truth.tolist())) < 2:
