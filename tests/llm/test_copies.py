@@ -188,6 +188,14 @@ def test_compact_windows_are_the_nodes_of_cartesian_trees(seed):
     assert set(zip(center.tolist(), left.tolist(), right.tolist())) == want
 
 
+def test_passages_at_two_distances_far_apart():
+    rng = np.random.default_rng(3)
+    x, y = rng.integers(0, 1 << 60, (2, 60)).astype(np.uint64)
+    a, b = np.concatenate([x, y]), np.concatenate([y, rng.integers(0, 1 << 60, 500).astype(np.uint64), x])
+    assert passages.common_passages(a, b) == [(0, 59, 560, 619), (60, 119, 0, 59)]
+    assert passages.common_passages(a, np.zeros(3, np.uint64)) == []
+
+
 def test_passages(spark):
     rows = made_documents(4)
     df = frame(spark, rows, CLASHES).repartition(6)
