@@ -196,6 +196,43 @@ def test_passages_at_two_distances_far_apart():
     assert passages.common_passages(a, np.zeros(3, np.uint64)) == []
 
 
+def diagonal_passages(a, b, t=passages.TOKENS):
+    """Words of ``a`` and ``b`` in runs of ``t`` equal tokens, each pair of places compared."""
+    in_a, in_b = set(), set()
+    for d in range(-len(a), len(b)):
+        run = 0
+        for i in range(max(0, -d), min(len(a), len(b) - d)):
+            run = run + 1 if a[i] == b[i + d] else 0
+            if run >= t:
+                in_a |= set(range(i - t + 1, i + 1))
+                in_b |= set(range(i + d - t + 1, i + d + 1))
+    return in_a, in_b
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_passages_at_every_place(seed, monkeypatch):
+    rng = np.random.default_rng(seed)
+    new = lambda n: rng.integers(0, 1 << 60, n).astype(np.uint64)
+    passage, line = new(51), new(8)
+    cases = [
+        # An earlier quote of half of the passage, the passage twice, a repeated line at its edges.
+        (np.concatenate([new(20), passage, new(20)]), np.concatenate([passage[:26], new(30), passage, new(10)])),
+        (np.concatenate([passage, new(9)]), np.concatenate([new(5), passage, new(40), passage])),
+        (np.concatenate([line, passage[:40], line, new(30)]), np.concatenate([line, new(15), line, line, new(7), line, passage[:40], line])),
+    ]
+    for held in (4_000_000, 50):
+        monkeypatch.setattr(passages, "MATCHES", held, raising=False)
+        for a, b in cases:
+            for x, y in ((a, b), (b, a)):
+                found = passages.common_passages(x, y)
+                own = [{p for s in found for p in range(s[k], s[k + 1] + 1)} for k in (0, 2)]
+                want = diagonal_passages(x.tolist(), y.tolist())
+                assert want[0] and want[0] <= own[0] and want[1] <= own[1]
+                for p, q, u, v in found:
+                    here, there = set(x[p:q + 1].tolist()), set(y[u:v + 1].tolist())
+                    assert q - p + 1 >= passages.TOKENS and len(here & there) >= passages.SIMILARITY * len(here | there)
+
+
 def test_passages(spark):
     rows = made_documents(4)
     df = frame(spark, rows, CLASHES).repartition(6)
