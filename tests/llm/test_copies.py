@@ -254,6 +254,41 @@ def test_passages(spark):
         assert len(own & spans[i]) >= 0.9 * len(own | spans[i])
 
 
+def test_exact_passages_in_a_family_of_variants(spark):
+    rnd = random.Random(8)
+    word = lambda: f"w{rnd.randrange(10**9)}"
+    base = [word() for _ in range(60)]
+    # Similarity of about 0.6 between variants: whole sentences of the base are exchanged.
+    rows = [(i, " ".join([word() for _ in range(5)] + [w if k // 10 not in own else word() for k, w in enumerate(base)] + [word() for _ in range(5)]))
+            for i in range(400) for own in [set(rnd.sample(range(6), 2))]]
+    planted = [w if not 20 <= k < 40 else word() for k, w in enumerate(base)]
+    for k in range(4):
+        # Exact copies, the last one of the shortest passage only.
+        rows.append((1000 + k, " ".join([word() for _ in range(30 + k)] + planted[:60 if k < 3 else 50] + [word() for _ in range(30)])))
+    df = frame(spark, rows, CLASHES).repartition(6)
+    exact, spans = passages.exact_passages(df.selectExpr("xxhash64(text) node", "text"))
+    ids = {r.node: r.doc_id for r in df.selectExpr("doc_id", "xxhash64(text) node").collect()}
+    token = {i: passages.tokens(pa.array([t]))[0].tolist() for i, t in rows}
+    holders, want = defaultdict(set), defaultdict(set)
+    for i, own in token.items():
+        for p in range(len(own) - passages.TOKENS + 1):
+            holders[tuple(own[p:p + passages.TOKENS])].add((i, p))
+    pairs = []
+    for found in holders.values():
+        if len({i for i, _ in found}) > 1:
+            pairs += [(min(found)[0], i) for i, _ in found]
+            for i, p in found:
+                want[i] |= set(range(p, p + passages.WORDS))
+    got = defaultdict(set)
+    for r in spans.collect():
+        got[ids[r.node]] |= set(range(r.first, r.last + 1))
+    assert got == want and {1000, 1001, 1002, 1003} <= set(want)
+    assert classes([(ids[r.a], ids[r.b]) for r in exact.collect()], token) == classes(pairs, token)
+    whole = {r.doc_id: r for r in passages.repeated_passages(df).collect()}
+    assert len({whole[1000 + k].class_id for k in range(4)}) == 1
+    assert all(want[i] <= {w for s in whole[i].spans for w in range(s.first, s.last + 1)} for i in want)
+
+
 def test_passages_of_nothing_and_of_repeated_rows(spark):
     long = " ".join(f"w{k}" for k in range(60))
     df = frame(spark, [(2, long), (2, long), (None, long), (5, "short"), (5, "short"), (None, None)], CLASHES)
