@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,6 +55,7 @@ from tarweave.sources.tar import (
     index_entries,
     list_shards,
     register,
+    shard_of_file,
     write_tars,
 )
 from tarweave.streaming.intake import process_new_shards
@@ -985,23 +987,32 @@ def shard_damage(spark, sf_dir):
     return counts.select("shard", "rows_in", "rows_out", "rejected", F.col("damage").isNotNull().alias("damaged"))
 
 
+def _move_tars(path: str, inbox: str) -> None:
+    """Move all tars of a folder into another; the files of a shard are numbered on after those that are there."""
+    fs, inner = split_uri(path)
+    _, target = split_uri(inbox)
+    tars = lambda folder: sorted(shard_of_file(f.base_name) for f in fs.get_file_info(pafs.FileSelector(folder)) if f.base_name.endswith(".tar"))
+    taken = {shard: number + 1 for shard, number in tars(target)}
+    for shard, number in tars(inner):
+        name = lambda n: f"{shard}{f'~{n:05d}' if n else ''}.tar"
+        fs.move(f"{inner}/{name(number)}", f"{target}/{name(taken.get(shard, 0) + number)}")
+
+
 @query("""
     SELECT CAST(doc_id % 2 AS VARCHAR) AS shard, CAST(doc_id AS VARCHAR) AS key, lang AS txt,
            (row_number() OVER (PARTITION BY doc_id % 2 ORDER BY doc_id) - 1) // 32 AS batch_id,
            count(*) OVER (PARTITION BY doc_id % 2) AS rows_in, count(*) OVER (PARTITION BY doc_id % 2) AS rows_out
     FROM documents""")
 def incremental_intake(spark, sf_dir):
-    """Two shards of two files arrive file by file and are processed as they do, the last batch twice."""
+    """Two shards of two files or more arrive file by file and are processed as they do, the last batch twice."""
     inbox, base = work_dir(spark, "inbox"), work_dir(spark, "intake")
     samples = _text_samples(spark, sf_dir).withColumn("shard", F.expr("cast(pos % 2 as string)"))
     middle = samples.agg((F.max("pos") / 2).cast("long")).first()[0]
-    # Written apart and then put together: the second half of a shard is its second file.
+    # Written apart and then put together: the files of the second half of a shard follow those of the first.
     halves = [work_dir(spark, "half") for _ in range(2)]
     for half, path in enumerate(halves):
         write_tars(samples.where((F.col("pos") > middle) == bool(half)), path)
-        fs, inner = split_uri(path)
-        for name in ("0", "1"):
-            fs.move(f"{inner}/{name}.tar", f"{split_uri(inbox)[1]}/{name}{'~00001' * half}.tar")
+        _move_tars(path, inbox)
     spec = {"data_path": inbox, "output_dir": f"{base}/out", "batch_size": 32, "num_workers": 1, "meta_key": "info.json", "img_key": "jpg", "txt_key": "lang"}
     taken = []
 

@@ -329,3 +329,21 @@ def test_scores_and_parameters_are_in_the_rows(spark, data, tmp_path):
     assert {(r.score, tuple(sorted(r.params.items()))) for r in out.rows.collect()} == {(0.25, (("max_seq_len", 7.0), ("temperature", 0.6)))}
     plan = out.rows._jdf.queryExecution().toString()
     assert "image" not in plan
+
+
+def test_intake_of_shards_of_many_files(spark, monkeypatch):
+    from tarweave.plans import queries
+
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("no test tables")
+    made = []
+    write = queries.write_tars
+    monkeypatch.setattr(tar, "FILE_BLOCK", 64)
+    monkeypatch.setattr(queries, "write_tars", lambda samples, path: (write(samples, path, bytes_per_tar=1), made.append(len(os.listdir(split_uri(path)[1])))))
+    got = queries.incremental_intake(spark, folder)
+    keys = {(r.shard, r.key): (r.rows_in, r.rows_out) for r in got.collect()}
+    ids = [r.doc_id for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id").collect()]
+    assert min(made) > 2
+    assert set(keys) == {(str(i % 2), str(i)) for i in ids}
+    assert all(n == (sum(i % 2 == int(s) for i in ids),) * 2 for (s, _), n in keys.items())
