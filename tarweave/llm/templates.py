@@ -41,11 +41,13 @@ UNITS = (
     "week weeks month months year years dollar dollars cent cents euro euros percent degree degrees kmh mph watt watts volt volts"
 ).split()
 
+_ANY_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _DIGIT, _UPPER, _SPACE = (np.zeros(256, bool) for _ in range(3))
 _DIGIT[list(b"0123456789")] = _UPPER[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ")] = _SPACE[list(b" \t")] = True
 _END = np.zeros(256, bool)
 _END[list(b".!?:;\n\r\"'([{")] = True
 NUMBER, UNIT, NAME = 1, 2, 3
+_PLAIN = np.uint64(0xD1342543DE82EF95)
 _PLACEHOLDERS = mix(np.arange(1, 4, dtype=np.uint64))
 
 
@@ -86,9 +88,12 @@ class Windows:
     words: np.ndarray
     kinds: tuple[np.ndarray, np.ndarray]
     rows: np.ndarray
+    exact: np.ndarray  # the words as they are
 
     def slots(self, i: int) -> np.ndarray:
         """The values in the placeholders of window ``i``: each a word's hash with its kind in the last two bits."""
+        if self.exact[i]:
+            return np.zeros(0, np.int64)
         a, kinds = self.at[i], self.kinds[int(self.named[i])]
         k = a + np.flatnonzero(kinds[a:a + WINDOW])
         return ((self.words[k] & ~np.uint64(3)) | kinds[k].astype(np.uint64)).view(np.int64)
@@ -98,7 +103,9 @@ def windows(texts: pa.Array, units: np.ndarray) -> Windows:
     """All windows of a string column.
 
     A window with names counts twice, with names as placeholders and as words, since
-    a name at the start of a sentence elsewhere isn't known for one.
+    a name at the start of a sentence elsewhere isn't known for one. A window whose
+    words are placeholders in the main tells nothing as a template, so it has a hash
+    of its words as they are, and no slots.
     """
     words = find_words(texts)
     hashes = find_words(pc.utf8_lower(texts)).hashes()  # as many words: only letters change
@@ -119,18 +126,55 @@ def windows(texts: pa.Array, units: np.ndarray) -> Windows:
         out = np.zeros(len(at), np.uint64)
         for k in range(WINDOW):
             out = mix(out + canonical[at + k])
-        found.append((out, at, np.full(len(at), named)))
-    out, at, named = (np.concatenate(parts) for parts in zip(*found))
-    return Windows(out, at, row[at], named, hashes, (plain, what), words.rows)
+        found.append((out, at, np.full(len(at), named), np.zeros(len(at), bool)))
+        if not named:
+            # A place has a template without names, or its words as they are.
+            at = np.flatnonzero(whole & ~fit)
+            found.append((_plain(hashes, at, WINDOW), at, np.zeros(len(at), bool), np.ones(len(at), bool)))
+    out, at, named, exact = (np.concatenate(parts) for parts in zip(*found))
+    return Windows(out, at, row[at], named, hashes, (plain, what), words.rows, exact)
+
+
+def _plain(hashes: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """A hash of ``length`` words as they are from each place ``at``, unlike those of templates and of other lengths."""
+    out = np.full(len(at), length, np.uint64) * _PLAIN
+    for k in range(length):
+        out = mix(out + hashes[at + k])
+    return out
+
+
+def short_runs(w: Windows, lengths: set[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, first words and rows of all runs of so many words; lengths are less than WINDOW."""
+    row = np.repeat(np.arange(len(w.rows) - 1), np.diff(w.rows))
+    found = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+    for n in sorted(lengths):
+        size = max(len(w.words) - n + 1, 0)
+        at = np.flatnonzero(row[:size] == row[n - 1:][:size])
+        found.append((_plain(w.words, at, n), at))
+    out, at = (np.concatenate(parts) for parts in zip(*found))
+    return out, at, row[at]
+
+
+def whole_short(w: Windows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As :func:`short_runs`: all words of the rows that have fewer than WINDOW."""
+    counts = np.diff(w.rows)
+    found = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+    for n in range(1, WINDOW):
+        row = np.flatnonzero(counts == n)
+        found.append((_plain(w.words, w.rows[row], n), row))
+    out, row = (np.concatenate(parts) for parts in zip(*found))
+    return out, w.rows[row], row
 
 
 _WINDOWS = "id long, print long, n long, hash long, pos long, slots array<long>"
 
 
-def _windows_of(df: DataFrame, id_col: str, text_col: str, bits: np.ndarray | None) -> DataFrame:
+def _windows_of(df: DataFrame, id_col: str, text_col: str, bits: np.ndarray | None, lengths: set[int] | None = None) -> DataFrame:
     """Windows of a table's texts, those that ``bits`` may hold if it is given, with the values in their placeholders.
 
-    ``n`` is the number of places a window can stand at.
+    ``n`` is the number of places a window can stand at. A text of fewer than WINDOW
+    words has one, all of its words as they are; with ``lengths`` (less than WINDOW)
+    so have runs of so many words in any text.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,13 +183,16 @@ def _windows_of(df: DataFrame, id_col: str, text_col: str, bits: np.ndarray | No
             done = 0
             for block in text_slices(batch.column("text")):
                 w = windows(block, units)
-                total = np.maximum(np.diff(w.rows) - WINDOW + 1, 0)
-                kept = np.arange(len(w.at))
+                counts = np.diff(w.rows)
+                total = np.maximum(counts - WINDOW + 1, np.minimum(counts, 1))
+                hashes, at, row = whole_short(w) if lengths is None else short_runs(w, lengths)
+                hashes, at, row = np.concatenate([w.hashes, hashes]), np.concatenate([w.at, at]), np.concatenate([w.row, row])
+                kept = np.arange(len(at))
                 if bits is not None:
-                    place = w.hashes & np.uint64((1 << MAP_BITS) - 1)
+                    place = hashes & np.uint64((1 << MAP_BITS) - 1)
                     kept = np.flatnonzero((bits[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1)
-                hashes, at, row = w.hashes[kept], w.at[kept], w.row[kept]
-                slots = [w.slots(i) for i in kept.tolist()]
+                hashes, at, row = hashes[kept], at[kept], row[kept]
+                slots = [w.slots(i) if i < len(w.at) else np.zeros(0, np.int64) for i in kept.tolist()]
                 own = pa.array(row + done, pa.int64())
                 yield pa.RecordBatch.from_arrays([
                     batch.column("id").take(own), batch.column("print").take(own), pa.array(total[row], pa.int64()),
@@ -179,8 +226,9 @@ def benchmark_matches(
     differ from the item's; ``first_word`` is where the first window stands, and
     ``places`` the number of distances at which values agree. ``print`` is a
     hash of the text (rows repeated with one id and text give one row). Null is
-    empty; texts and items of fewer than WINDOW words match nothing. Items of one
-    id and different texts count as one for each text.
+    empty. An item of fewer than WINDOW words is found where all its words stand in
+    a row; windows with fewer than LITERALS words that are no placeholders are found
+    as they are. Items of one id and different texts count as one for each text.
     """
     spark = df.sparkSession
     ship_package(spark)
@@ -191,7 +239,10 @@ def benchmark_matches(
         "items",
     )
     bits = _bit_map(items.select("hash").distinct())
-    found = _windows_of(df, id_col, text_col, bits).select("id", "print", "hash", "pos", "slots")
+    # A short item has one window, whose length its hash holds: which lengths there are is WINDOW - 1 numbers at most.
+    words = F.least(F.size(F.regexp_extract_all(F.coalesce(F.col(item_text), F.lit("")), F.lit(_ANY_WORD), F.lit(0))), F.lit(WINDOW))
+    lengths = {r.n for r in benchmark.select(words.alias("n")).distinct().collect()} - {0, WINDOW}
+    found = _windows_of(df, id_col, text_col, bits, lengths).select("id", "print", "hash", "pos", "slots")
     met = found.join(small_or_shuffled(items, BROADCAST_ROWS), "hash").withColumn("distance", F.col("pos") - F.col("item_pos"))
     key = ["id", "print", "item", "item_print", "distance"]
     # For each distance: the item's windows found, and which value of the document each value of the item stands for.

@@ -71,6 +71,23 @@ def test_exchanged_slots_are_found_when_consistent(spark):
     assert templates.drop_contaminated(df, bench.limit(0)).count() == len(rows)
 
 
+def test_items_of_numbers_and_short_items_are_found(spark):
+    sums = "What is 12 + 7 + 30 + 41 + 5 + 66 + 7 + 81 + 9 + 10 + 11 + 2 + 13 altogether"
+    sequence = "2 4 8 16 32 64 128 256 512"
+    items = [(1, sums), (2, sequence), (3, "Who wrote Moby Dick?"), (4, "42")]
+    rows = [
+        (1, f"Before it. {sums} and after."), (2, sums.replace("41", "40").replace("66", "65")), (3, f"x {sequence} y"),
+        (4, "2 4 8 16 32 64 128 257 512"), (5, "they asked: who wrote moby dick, again"), (6, "who wrote of Moby Dick"), (7, "42"),
+        (8, "nothing of the kind is in here at all today"), (9, "Who wrote Moby"),
+    ]
+    df = frame(spark, rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in templates.benchmark_matches(df, bench).collect()}
+    assert set(got) == {(1, 1), (3, 2), (5, 3), (7, 4)}
+    assert all(r.coverage == 1 and r.exchanged == 0 for r in got.values()) and got[5, 3].first_word == 2
+    assert sorted(r.doc_id for r in templates.drop_contaminated(df, bench).collect()) == [2, 4, 6, 8, 9]
+
+
 def test_windows_against_words():
     rnd = random.Random(5)
     vocabulary = ["alpha", "beta", "Gamma", "7", "12", "km", "x.", "Delta!"]
