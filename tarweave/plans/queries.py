@@ -8,7 +8,7 @@ Every query reads its whole tables.
 from __future__ import annotations
 
 import hashlib
-import io
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -953,13 +953,37 @@ def caption_images_job(spark, sf_dir):
 
 
 def _cut_last_entry(path: str) -> None:
-    """Cut a tar in the middle of its last entry."""
+    """Cut a tar in the middle of its last entry, copying blocks; a tar that is cut already stays as it is."""
     fs, inner = split_uri(path)
-    with fs.open_input_stream(inner) as handle:
-        raw = handle.read()
-    *_, (_, offset, size) = Headers(io.BytesIO(raw), len(raw))
-    with fs.open_output_stream(inner) as out:
-        out.write(raw[:offset + size // 2])
+    length = fs.get_file_info(inner).size
+    with fs.open_input_file(inner) as handle:
+        headers, last = Headers(handle, length), None
+        for last in headers:
+            pass
+    if headers.damage or last is None:
+        return
+    left = last[1] + last[2] // 2
+    folder, name = inner.rsplit("/", 1)
+    # Put in place when it is whole, so a task that is run again finds the one or the other.
+    staged = f"{folder}/_cut-{uuid.uuid4().hex}-{name}.part"
+    with fs.open_input_stream(inner) as whole, fs.open_output_stream(staged) as out:
+        while left and (block := whole.read(min(left, 1 << 20))):
+            out.write(block)
+            left -= len(block)
+    fs.move(staged, inner)
+
+
+def _cut_last_entries(shards: DataFrame) -> None:
+    """:func:`_cut_last_entry` for each ``path``, in tasks."""
+
+    def cut(batches):
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                _cut_last_entry(path)
+            yield batch
+
+    paths = shards.select("path")
+    paths.repartition(fetch_tasks(shards), "path").mapInArrow(cut, paths.schema).write.format("noop").mode("overwrite").save()
 
 
 @query("""
@@ -980,8 +1004,8 @@ def shard_damage(spark, sf_dir):
                 F.lit("info.json"), meta.cast("binary"),
             ).alias("parts"),
         ), path)
-    for row in list_shards(spark, path).where("cast(substring(shard, 4) as int) % 3 = 0").collect():
-        _cut_last_entry(row.path)
+    ship_package(spark)
+    _cut_last_entries(list_shards(spark, path).where("cast(substring(shard, 4) as int) % 3 = 0"))
     spec = {"data_path": path, "output_dir": work_dir(spark, "out"), "batch_size": 32, "num_workers": 1, "meta_key": "info.json", "img_key": "jpg"}
     counts = run_spec(spark, spec).counts
     return counts.select("shard", "rows_in", "rows_out", "rejected", F.col("damage").isNotNull().alias("damaged"))

@@ -347,3 +347,20 @@ def test_intake_of_shards_of_many_files(spark, monkeypatch):
     assert min(made) > 2
     assert set(keys) == {(str(i % 2), str(i)) for i in ids}
     assert all(n == (sum(i % 2 == int(s) for i in ids),) * 2 for (s, _), n in keys.items())
+
+
+def test_last_entries_are_cut_in_tasks(spark, tmp_path, monkeypatch):
+    from tarweave.plans import queries
+
+    for name in ("a", "b", "b~00001"):
+        write_tar(tmp_path, f"{name}.tar", [(f"k{i}.txt", bytes(3000 + i)) for i in range(4)])
+    whole = {name: (tmp_path / f"{name}.tar").read_bytes() for name in ("a", "b", "b~00001")}
+    # The driver may list, but not read or write.
+    monkeypatch.setattr(queries, "split_uri", None)
+    for _ in range(2):
+        queries._cut_last_entries(list_shards(spark, str(tmp_path)).where("shard = 'b'"))
+        assert (tmp_path / "a.tar").read_bytes() == whole["a"]
+        for name in ("b", "b~00001"):
+            # Three entries of a header and six blocks, a header, and half of the last one's bytes.
+            assert (tmp_path / f"{name}.tar").read_bytes() == whole[name][:3 * 3584 + 512 + 3003 // 2]
+        assert sorted(os.listdir(tmp_path)) == ["a.tar", "b.tar", "b~00001.tar"]
