@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarweave.llm import bpe, chat, licenses, passages, quality, quotient, templates, token_files, urls, weighted_minhash
+from tarweave.llm import bpe, chat, licenses, merkle, passages, quality, quotient, templates, token_files, urls, weighted_minhash
 from tarweave.session import ship_package, work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -158,3 +158,9 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations that no longer one begins with, rendered."""
     return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
+@query(merkle.sql())
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf and proof in a Merkle tree of sources, verified against rows of which some are tampered with."""
+    return merkle.verify(merkle.manifest(table(spark, sf_dir, "documents")))
