@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarweave.llm import bpe, chat, licenses, merkle, passages, quality, quotient, templates, token_files, urls, weighted_minhash
+from tarweave.llm import bpe, chat, licenses, merkle, passages, quality, quotient, repeats, templates, token_files, trie, urls, weighted_minhash
 from tarweave.session import ship_package, work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,3 +164,17 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's leaf and proof in a Merkle tree of sources, verified against rows of which some are tampered with."""
     return merkle.verify(merkle.manifest(table(spark, sf_dir, "documents")))
+
+
+@query(trie.sql())
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The turn prefixes that rebuilt conversations share, with sums over the subtrees of each."""
+    ship_package(spark)
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+@query(repeats.sql())
+def op13_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document without the strings that begin earlier as well."""
+    ship_package(spark)
+    return repeats.without_repeats(table(spark, sf_dir, "documents"))
