@@ -8,9 +8,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarweave.functions.images import dominance
-from tarweave.session import stage
+from tarweave.session import work_dir
+
+#: Names the side of a split in its folders.
+VERDICT = "_good"
 
 
 @dataclass
@@ -77,10 +81,30 @@ def apply_filters(samples: DataFrame, specs: Sequence[dict] | None) -> DataFrame
     return measured.where(reduce(lambda a, b: a & b, conditions)).select(*samples.columns)
 
 
+def holds_bytes(kind: T.DataType) -> bool:
+    """Whether values of a type hold binary data, such as pixels."""
+    match kind:
+        case T.BinaryType():
+            return True
+        case T.StructType():
+            return any(holds_bytes(f.dataType) for f in kind.fields)
+        case T.ArrayType():
+            return holds_bytes(kind.elementType)
+        case T.MapType():
+            return holds_bytes(kind.keyType) or holds_bytes(kind.valueType)
+    return False
+
+
 def split_rejects(samples: DataFrame, error: str = "error") -> tuple[DataFrame, DataFrame]:
-    """Good samples (without the error column) and the failed ones.
+    """Good samples (without the error column) and the failed ones, written by one job.
 
-    The samples are staged, so that what made them (a codec, a model) runs once.
+    What made the samples (a codec, a model) runs once; each side then reads its own
+    files. Columns that hold bytes are left out, as pixels are many times the images
+    they come from: what is to be known of them is a column to compute before, and
+    bytes are read again by position (``fetch``) for the good samples alone.
     """
-    samples = stage(samples, "samples")
-    return samples.where(F.col(error).isNull()).drop(error), samples.where(F.col(error).isNotNull())
+    slim = samples.select([f.name for f in samples.schema.fields if not holds_bytes(f.dataType)])
+    path = work_dir(samples.sparkSession, "split")
+    slim.withColumn(VERDICT, F.col(error).isNull()).write.mode("overwrite").partitionBy(VERDICT).parquet(path)
+    split = samples.sparkSession.read.schema(T.StructType([*slim.schema.fields, T.StructField(VERDICT, T.BooleanType())])).parquet(path)
+    return split.where(VERDICT).drop(error, VERDICT), split.where(f"NOT {VERDICT}").drop(VERDICT)

@@ -36,9 +36,10 @@ from tarweave.functions.text import (
 from tarweave.operators.captions import caption_rows, output_columns, overlay
 from tarweave.operators.filters import keep_monochrome, split_rejects
 from tarweave.operators.generation import features, generate_captions
+from tarweave.operators.joins import read_by_shard, store_by_shard
 from tarweave.operators.mappers import AddFieldsConfig, add_fields, add_fields_from_files
 from tarweave.operators.ordering import assign_batches, first_rows, preview_grid
-from tarweave.operators.samples import group_samples, has_caption_and_image, has_image, named_entries, rename_parts
+from tarweave.operators.samples import group_in_order, group_samples, has_caption_and_image, has_image, named_entries, rename_parts
 from tarweave.operators.scoring import align_captions, average_scores, clip_scores
 from tarweave.operators.shards import pending_shards, run_counters, shard_counts, skip_done, union_done
 from tarweave.plans.captioning import caption_shards
@@ -47,14 +48,16 @@ from tarweave.schemas import IMAGE
 from tarweave.session import ship_package, split_uri, work_dir
 from tarweave.sources.captions import add_manifest, completed_shards, read_manifest, read_rows, write_rows
 from tarweave.sources.metadata import ORDER, SHARD, read_metadata
+from tarweave.sources.headers import cuts_of, stored_index
 from tarweave.sources.tar import (
+    EXTENT,
     FORMAT,
     Headers,
     fetch_parts,
     fetch_tasks,
-    index_entries,
     list_shards,
     register,
+    scan,
     shard_of_file,
     write_tars,
 )
@@ -227,9 +230,10 @@ SUFFIX = """
                     WHEN 'click' THEN 'txt' ELSE 'Info.Json' END"""
 
 
-@query(f"""
+def _grouped(shard: str, pos: str) -> str:
+    return f"""
     WITH RECURSIVE entries AS (
-        SELECT event_id % 8 AS s, event_id // 8 AS p, 'd/k' || (user_id % 2) AS prefix, lower({SUFFIX}) AS suffix
+        SELECT {shard} AS s, {pos} AS p, 'd/k' || (user_id % 2) AS prefix, lower({SUFFIX}) AS suffix
         FROM events),
     fold AS (
         SELECT s, p, prefix, suffix, p AS start, [suffix] AS held FROM entries WHERE p = 0
@@ -241,16 +245,21 @@ SUFFIX = """
         FROM fold f JOIN entries e ON e.s = f.s AND e.p = f.p + 1)
     SELECT CAST(s AS VARCHAR) AS shard, start AS pos, min(prefix) AS key, count(*) AS n_parts,
            string_agg(suffix || '@' || p, ' ' ORDER BY suffix) AS parts
-    FROM fold GROUP BY s, start""")
-def group_entries(spark, sf_dir):
-    entries = table(spark, sf_dir, "events").select(
-        F.expr("cast(event_id % 8 as string)").alias("shard"),
-        F.expr("event_id div 8").alias("pos"),
+    FROM fold GROUP BY s, start"""
+
+
+def _event_entries(spark, sf_dir, shard: str, pos: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select(
+        F.expr(f"cast({shard} as string)").alias("shard"),
+        F.expr(pos).alias("pos"),
         F.expr(f"'d/k' || (user_id % 2) || '.' || {SUFFIX}").alias("fname"),
         F.lit("").alias("url"),
     )
+
+
+def _part_list(samples: DataFrame) -> DataFrame:
     parts = F.array_sort(F.map_entries("parts"))
-    return group_samples(named_entries(entries)).select(
+    return samples.select(
         "shard",
         "pos",
         "key",
@@ -259,6 +268,18 @@ def group_entries(spark, sf_dir):
     )
 
 
+@query(_grouped("event_id % 8", "event_id // 8"))
+def group_entries(spark, sf_dir):
+    """Entries of shards that are mixed with each other."""
+    return _part_list(group_samples(named_entries(_event_entries(spark, sf_dir, "event_id % 8", "event_id div 8"))))
+
+
+@query(_grouped("event_id // 1000", "event_id % 1000"))
+def group_entries_in_order(spark, sf_dir):
+    """Entries that lie in the order of their shards, cut into samples where they are."""
+    return _part_list(group_in_order(_event_entries(spark, sf_dir, "event_id div 1000", "event_id % 1000")))
+
+
 def _event_samples(spark, sf_dir) -> DataFrame:
     """Four events in a row as one sample, the last event of a suffix as its part."""
     return (
@@ -353,11 +374,23 @@ def tar_scan(spark, sf_dir):
     return entries.select("shard", "pos", "fname", F.length("data").cast("long").alias("size"))
 
 
+@query("""
+    SELECT source AS shard, CAST(doc_id AS VARCHAR) || '.txt' AS fname, CAST(octet_length(encode(text)) AS BIGINT) AS size
+    FROM documents WHERE CAST(substring(source, 4) AS INTEGER) % 2 = 1""")
+def tar_scan_pruned(spark, sf_dir):
+    """Texts of half of the shards: the files of others aren't opened, other bodies not read."""
+    path = _text_tars(spark, sf_dir)
+    odd = [r.shard for r in list_shards(spark, path).select("shard").distinct().collect() if int(r.shard[3:]) % 2]
+    entries = scan(spark, path, F.col("shard").isin(odd) & F.col("fname").endswith(".txt"))
+    return entries.select("shard", "fname", F.length("data").cast("long").alias("size"))
+
+
 @query("SELECT source AS shard, CAST(doc_id AS VARCHAR) AS key, text, 'image of ' || doc_id AS image FROM documents")
 def tar_roundtrip(spark, sf_dir):
     shards = list_shards(spark, _text_tars(spark, sf_dir))
-    samples = group_samples(named_entries(index_entries(shards)), payload=["offset", "size"])
-    return fetch_parts(samples, fetch_tasks(shards), ["txt", "jpg"]).select(
+    store = work_dir(spark, "headers")
+    samples = group_in_order(stored_index(shards, store), payload=EXTENT)
+    return fetch_parts(samples, fetch_tasks(shards), ["txt", "jpg"], cuts=cuts_of(store)).select(
         "shard",
         "key",
         F.try_element_at("parts", F.lit("txt")).cast("string").alias("text"),
@@ -389,6 +422,27 @@ def add_fields_last_wins(spark, sf_dir):
     return add_fields(samples, metadata, config).select(F.col("key").alias("c_custkey"), "c_name", "last_priority")
 
 
+@query("""
+    WITH meta AS (
+        SELECT o_custkey, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderpriority END AS priority,
+               row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS rn
+        FROM orders)
+    SELECT c_custkey, c_name, m.priority AS last_priority
+    FROM customer JOIN meta m ON c_custkey = m.o_custkey AND m.rn = 1""")
+def add_fields_in_place(spark, sf_dir):
+    """The same lookup in tables that lie by shard on both sides, so that neither is shuffled."""
+    samples = table(spark, sf_dir, "customer").select(
+        F.expr("cast(c_custkey % 16 as string)").alias("shard"), F.col("c_custkey").alias("key"), "c_name"
+    )
+    metadata = table(spark, sf_dir, "orders").select(
+        F.expr("cast(o_custkey % 16 as string)").alias("shard"), F.col("o_orderkey").alias("pos"), "o_custkey",
+        F.expr("CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderpriority END").alias("priority"),
+    )
+    samples, metadata = (read_by_shard(spark, store_by_shard(df, 16)) for df in (samples, metadata))
+    config = AddFieldsConfig("add_fields", "priority", "last_priority", "", metadata_key="o_custkey")
+    return add_fields(samples, metadata, config).select(F.col("key").alias("c_custkey"), "c_name", "last_priority")
+
+
 @query("SELECT d.doc_id, d.source AS shard, l.quality FROM documents d JOIN labels l USING (doc_id)")
 def add_fields_drop_missing(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
@@ -658,9 +712,9 @@ RAW = "CASE WHEN vec_id % 5 = 0 THEN 'XX' ELSE 'RG' END"
 def decode_rejects(spark, sf_dir):
     raw = F.concat(F.expr(RAW).cast("binary"), _pixels(F.col("embedding")))
     read = table(spark, sf_dir, "embeddings").select("vec_id", decode_image(raw, decode_raw).alias("r"))
-    good, bad = split_rejects(read.select("vec_id", F.col("r.image").alias("image"), F.col("r.error").alias("error")))
-    return good.select("vec_id", F.col("image.data").isNotNull().alias("decoded"), F.lit(None).cast("string").alias(
-        "error")).unionByName(bad.select("vec_id", F.lit(False).alias("decoded"), "error"))
+    samples = read.select("vec_id", F.col("r.image").alias("image"), F.col("r.image.data").isNotNull().alias("decoded"), F.col("r.error").alias("error"))
+    good, bad = split_rejects(samples)
+    return good.withColumn("error", F.lit(None).cast("string")).unionByName(bad)
 
 
 # --- models -----------------------------------------------------------------
@@ -962,7 +1016,7 @@ def _cut_last_entry(path: str) -> None:
             pass
     if headers.damage or last is None:
         return
-    left = last[1] + last[2] // 2
+    left = last[2] + last[3] // 2
     folder, name = inner.rsplit("/", 1)
     # Put in place when it is whole, so a task that is run again finds the one or the other.
     staged = f"{folder}/_cut-{uuid.uuid4().hex}-{name}.part"

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 import yaml
+from pyspark.resource import ResourceProfile
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,11 +18,11 @@ from tarweave.operators.filters import build_filters, need_pixels
 from tarweave.operators.mappers import apply_mappers, mapper_configs
 from tarweave.operators.ordering import assign_batches, preview_grid
 from tarweave.operators.samples import RENAME_ORDER
-from tarweave.plans.reading import found_samples, manifest_counts, shards_to_do, usable_samples, whole_shards, with_contents
+from tarweave.plans.reading import HEADERS_DIR, found_samples, manifest_counts, shards_to_do, usable_samples, whole_shards, with_contents
 from tarweave.schemas import REJECT
 from tarweave.session import keep, scratch, split_uri, stage
 from tarweave.sources.captions import REJECTS_DIR, add_manifest, adopt, read_manifest, read_rows, withdraw, write_rows
-from tarweave.sources.tar import fetch_parts, fetch_tasks, lay_out, remove_tars, write_laid_out
+from tarweave.sources.tar import fetch_parts, fetch_tasks, lay_out, write_laid_out
 
 KEY_ROW = T.StructType([
     T.StructField("key", T.StringType()),
@@ -81,7 +82,7 @@ def judge(read: DataFrame, spec: Spec) -> DataFrame:
     return read.withColumn("passes", agreed).drop("image", "dominance")
 
 
-def tar_rows(kept: DataFrame, spec: Spec, extra: list[str], tasks: int) -> DataFrame:
+def tar_rows(kept: DataFrame, spec: Spec, extra: list[str], tasks: int, cuts: str) -> DataFrame:
     """Rows for the tar sink, laid out by output file before any byte is read.
 
     Image and metadata come back under their configured names, mapper outputs
@@ -89,7 +90,7 @@ def tar_rows(kept: DataFrame, spec: Spec, extra: list[str], tasks: int) -> DataF
     """
     fields = {name: F.col(f"`{MAPPED}{name}`") for name in extra}
     slim = kept.select("shard", "pos", "key", "url", *fields.values(), F.col("extents").alias("parts"))
-    read = fetch_parts(lay_out(slim, tasks), strict=True)
+    read = fetch_parts(lay_out(slim, tasks), strict=True, cuts=cuts)
     part = F.col("parts")
     image = F.coalesce(*[F.try_element_at("parts", F.lit(s)) for s in RENAME_ORDER])
     named = {spec.img_key: image, spec.meta_key: F.try_element_at("parts", F.lit(spec.meta_key))}
@@ -109,6 +110,7 @@ def run_spec(
     keep_partial: bool = True,
     shards: DataFrame | None = None,
     retry_rejected: bool = False,
+    profile: ResourceProfile | None = None,
 ) -> Outcome:
     """Run one specification over the shards not yet done.
 
@@ -117,7 +119,8 @@ def run_spec(
     whether done before or not. Their outputs are replaced, and the manifest
     has a new line for each. Rejected samples and damaged files are recorded
     beside the outputs; ``retry_rejected`` takes shards with such again.
-    ``debug`` gives the first batch of every shard and writes no output.
+    ``debug`` gives the first batch of every shard and writes no output. Images are
+    read and decoded with the resources of ``profile``.
     """
     started = time.monotonic()
     spec = source if isinstance(source, Spec) else load_spec(source)
@@ -132,7 +135,8 @@ def run_spec(
             shards = whole_shards(spark, spec.data_path, shards)
         names = sorted({r.shard for r in shards.select("shard").distinct().collect()})
         tasks = fetch_tasks(shards)
-        samples, damage = found_samples(shards)
+        base = spec.output_dir.rstrip("/")
+        samples, damage, cuts = found_samples(shards, None if debug else f"{base}/{HEADERS_DIR}")
         # Filters cannot see a mapper's output and both only drop rows, so the join
         # runs first, on rows without pixels.
         mapped, extra = apply_mappers(usable_samples(samples, spec.meta_key), spec.mapper_functions, names)
@@ -146,6 +150,8 @@ def run_spec(
             image=decode is not None,
             pixels=need_pixels(spec.filter_functions),
             measure=bool(spec.filter_functions),
+            cuts=cuts,
+            profile=profile,
         )
         judged = judge(read, spec).observe(
             seen,
@@ -162,7 +168,6 @@ def run_spec(
         kept = stage(kept.withColumn("txt", caption_from_meta(F.col("json"), spec.txt_key)), "kept")
         preview = keep(made, stage(preview_grid(kept, "key", spec.batch_size), "preview")) if spec.make_visualization else None
 
-        base = spec.output_dir.rstrip("/")
         if debug:
             return Outcome(
                 rows=keep(made, stage(kept.select("shard", *KEY_ROW.fieldNames()), "rows")),
@@ -175,8 +180,7 @@ def run_spec(
         write_rows(kept, f"{base}/rows", KEY_ROW, shards=names)
         write_rows(rejects, f"{base}/{REJECTS_DIR}", REJECT, shards=names)
         if spec.save_tar:
-            remove_tars(base, set(names))
-            write_laid_out(tar_rows(kept, spec, extra, tasks), base)
+            write_laid_out(tar_rows(kept, spec, extra, tasks, cuts), base, replaces=names)
         add_manifest(manifest_counts(shards, samples, kept, rejects, damage, spec.batch_size, time.monotonic() - started), base)
         return Outcome(
             rows=read_rows(spark, f"{base}/rows", KEY_ROW),
