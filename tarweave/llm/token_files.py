@@ -8,6 +8,7 @@ metadata column is read without the rest.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -19,7 +20,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tarweave.llm.spans import Numbered, Spans, id_lists, text_blocks
+from tarweave.llm.spans import Numbered, Spans, id_lists, text_slices
+from tarweave.llm.words import text_bytes
 
 #: Chunks of text that a worker remembers the ids of.
 REMEMBERED = 800_000
@@ -35,21 +37,68 @@ FORMAT = {
 }
 
 
+#: Signs that are chunks of their own after an ASCII letter or digit.
+TAILS = ".,;:!?"
+_TAIL, _PLAIN, _TAIL_NUMBER = np.zeros(256, bool), np.zeros(256, bool), np.zeros(256, np.int64)
+_TAIL[list(TAILS.encode())] = True
+_TAIL_NUMBER[list(TAILS.encode())] = np.arange(len(TAILS))
+_PLAIN[ord("0"):ord("9") + 1] = _PLAIN[ord("a"):ord("z") + 1] = _PLAIN[ord("A"):ord("Z") + 1] = True
+
+
+class _Whole:
+    """A text that is encoded whole, and known for as long as that takes."""
+
+    def __init__(self, text: str):
+        self.text = text
+
+
+def _byte_signs() -> list[str]:
+    """The sign that stands for each byte in byte-level vocabularies: itself where it is printable, else the next of those from 256 on."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(0x100, 0x200))
+    return [chr(b if b in own else next(others)) for b in range(256)]
+
+
 class _Encoder:
-    """Ids of texts by a tokenizer that drops white space, so that chunks between spaces and line ends encode alone."""
+    """Ids of texts by a tokenizer that drops white space, so that chunks between spaces and line ends encode alone.
+
+    Different chunks of a block of texts are looked up once. A sign of TAILS after
+    an ASCII letter or digit is a chunk of its own, as no piece has both. Latin
+    words in lower case go to the tokenizer's model as they are, if its
+    configuration says that a run of letters is a piece; the rest goes to the library.
+    """
 
     #: A sign that between spaces is a piece by itself; it parts chunks that are encoded together.
     MARK = "\x01"
     TOGETHER = 256
+    #: Up to here letters are composed, and their classes settled.
+    LATIN = "\u024f"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # Strings of added tokens are found anywhere in a text, before it is cut.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+        normalizer = self.tokenizer.normalizer
+        self.lowers = normalizer is not None and normalizer.normalize_str(letters) == letters.lower()
+        self.model = self.tokenizer.model if self._words_are_pieces() else None
+        self.signs = _byte_signs()
         self.mark = self._ids(self.MARK)
         self._forget()
 
+    def _words_are_pieces(self) -> bool:
+        """Whether texts are cut into runs of letters and others, and then taken byte by byte."""
+        config = json.loads(self.tokenizer.to_str())
+        steps = (config.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        if [s.get("type") for s in steps] != ["Split", "ByteLevel"] or not self.lowers:
+            return False
+        cut, signs = steps
+        runs = cut["pattern"].get("Regex", "").split("|")
+        whole = cut["behavior"] == "Removed" and cut["invert"] and r"[\p{L}]+" in runs and all(r.startswith(("'", "[")) for r in runs)
+        return whole and not signs["add_prefix_space"] and not signs["use_regex"] and config["model"]["type"] == "BPE" and not config["model"].get("dropout")
+
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
@@ -58,45 +107,82 @@ class _Encoder:
 
     def _learn(self) -> None:
         new = self.known.take_new()
-        for k in range(0, len(new), self.TOGETHER):
-            own = new[k:k + self.TOGETHER]
-            joined = f" {self.MARK} ".join(own)
-            if len(self.mark) == 1 and joined.count(self.MARK) == len(own) - 1:
-                ids = np.array(self._ids(joined), np.int32)
-                marks = np.flatnonzero(ids == self.mark[0])
-                counts = np.diff(np.concatenate([[-1], marks, [len(ids)]])) - 1
-                ids = np.delete(ids, marks)
+        found: list[list[int]] = [[]] * len(new)
+        others = []
+        for k, part in enumerate(new):
+            if isinstance(part, _Whole):
+                found[k], part.text = self._ids(part.text), None
+            elif self.model is not None and part.isalpha() and max(part) <= self.LATIN and part == part.lower():
+                found[k] = [t.id for t in self.model.tokenize(part if part.isascii() else "".join(self.signs[b] for b in part.encode()))]
+            elif part:
+                others.append(k)
+        for at in range(0, len(others), self.TOGETHER):
+            own = others[at:at + self.TOGETHER]
+            for k, ids in zip(own, self._together([new[k] for k in own])):
+                found[k] = ids
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        self.spans.add(np.fromiter(chain.from_iterable(found), np.int32, counts.sum()), counts)
+
+    def _together(self, chunks: list[str]) -> list[list[int]]:
+        joined = f" {self.MARK} ".join(chunks)
+        if len(self.mark) != 1 or joined.count(self.MARK) != len(chunks) - 1:
+            return [self._ids(c) for c in chunks]
+        found: list[list[int]] = [[]]
+        for i in self._ids(joined):
+            if i == self.mark[0]:
+                found.append([])
             else:
-                lists = [self._ids(c) for c in own]
-                counts = np.fromiter(map(len, lists), np.int64, len(lists))
-                ids = np.fromiter(chain.from_iterable(lists), np.int32, counts.sum())
-            if len(counts) != len(own):
-                raise ValueError("the tokenizer doesn't keep chunks between spaces apart")
-            self.spans.add(ids, counts)
-
-    def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+                found[-1].append(i)
+        if len(found) != len(chunks):
+            raise ValueError("the tokenizer doesn't keep chunks between spaces apart")
+        return found
+
+    def encode(self, texts: pa.Array | list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts one after another, ``end_id`` after each, and how many each has."""
         if len(self.known) > REMEMBERED:
             self._forget()
-        numbers: list[int] = []
-        counts = []
-        for text in texts:
-            parts = text.replace("\n", " ").split(" ")
-            numbers.extend(map(self.known.__getitem__, parts))
-            counts.append(len(parts))
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        special = np.zeros(len(texts), bool)
+        for content in self.added:
+            # In any case, as chunks are put into lower case and would become them.
+            special |= pc.match_substring(texts, content, ignore_case=True).to_numpy(zero_copy_only=False)
+        plain = pc.if_else(pa.array(special), pa.scalar("", texts.type), texts) if special.any() else texts
+        lists = pc.split_pattern(pc.replace_substring(plain, "\n", " "), " ")
+        chunks = lists.flatten()
+        chunks = (pc.ascii_lower(chunks) if self.lowers else chunks).dictionary_encode()
+        raw, offsets = text_bytes(chunks.dictionary)
+        ends = offsets[1:]
+        cut = np.diff(offsets) > 1
+        cut[cut] = _TAIL[raw[ends[cut] - 1]] & _PLAIN[raw[ends[cut] - 2]]
+        heads = [c[:-1] if tail else c for c, tail in zip(chunks.dictionary.to_pylist(), cut.tolist())]
+        tails = np.array([self.known[sign] for sign in TAILS])
+        head = np.fromiter(map(self.known.__getitem__, heads), np.int64, len(heads))
+        tail = np.full(len(heads), -1)
+        tail[cut] = tails[_TAIL_NUMBER[raw[ends[cut] - 1]]]
+        codes = chunks.indices.to_numpy(zero_copy_only=False)
+        first, second = head[codes], tail[codes]
+        size = 1 + (second >= 0)
+        ends = np.cumsum(size)
+        numbers = np.empty(int(ends[-1]) if len(ends) else 0, np.int64)
+        numbers[ends - size] = first
+        numbers[ends[second >= 0] - 1] = second[second >= 0]
+        bounds = np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)))
+        at = np.append(0, ends)[bounds]
+        for k in np.flatnonzero(special).tolist():
+            numbers[at[k]] = self.known[_Whole(texts[k].as_py())]
         self._learn()
-        ids, sizes = self.spans.gather(numbers, counts)
-        ends = np.cumsum(sizes)
-        return np.insert(ids, ends, end_id), sizes + 1
+        ids, sizes = self.spans.gather(numbers, np.diff(at))
+        return np.insert(ids, np.cumsum(sizes), end_id), sizes + 1
 
 
 _encoders: dict[str, _Encoder] = {}
 
 
-def encode(text: Column, path: str, end_id: int, block: int = 4 << 20) -> Column:
+def encode(text: Column, path: str, end_id: int, block: int = 8 << 20) -> Column:
     """Ids of ``text`` by the tokenizer file at ``path`` and ``end_id`` after them; null is empty.
 
-    For tokenizers that drop white space. No special tokens are added; their
-    strings in a text are ordinary text.
+    For tokenizers that drop white space. No special tokens are added; strings of
+    added tokens in a text are these tokens, as the library has it.
     """
 
     @F.arrow_udf("array<int>")
@@ -106,7 +192,7 @@ def encode(text: Column, path: str, end_id: int, block: int = 4 << 20) -> Column
             _encoders[path] = _Encoder(path)
         encoder = _encoders[path]
         for texts in batches:
-            yield id_lists([encoder.encode(part, end_id) for part in text_blocks(texts, block)])
+            yield id_lists([encoder.encode(part, end_id) for part in text_slices(texts, block)])
 
     return ids(text)
 

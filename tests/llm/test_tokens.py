@@ -74,8 +74,8 @@ def test_word_ids_are_those_of_the_library():
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(WORDS)
-    plain.encode_special_tokens = True
-    texts = odd_texts(seed=8)
+    texts = odd_texts(seed=8) + ["hello <|endoftext|> world", "<|endoftext|><|startoftext|>a", "<|ENDOFTEXT|> <|endoftext|", "x. y.. z?! Ärger, über. ñandú; l'été: it's. 3.5, ﬁne. ÀÉ İs ΣΑΣ. σας, 日本. ª.", "K. K, É. É."]
+    texts += ["".join(chr(c) for c in range(a, a + 64)) for a in range(33, 0x2000, 64)] + [" ".join(chr(c) + "." for c in range(33, 0x400))]
     ids, counts = token_files._Encoder(WORDS).encode(texts, 2)
     ends = np.cumsum(counts)
     for text, count, end in zip(texts, counts, ends):
