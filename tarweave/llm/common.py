@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tarweave.session import stage
 
-__all__ = ["lower_ascii", "pair_texts", "stage", "small_or_shuffled"]
+__all__ = ["free_names", "lower_ascii", "pair_texts", "small_or_shuffled", "stage", "that_stay"]
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -24,6 +24,37 @@ def small_or_shuffled(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Names that no column of ``df`` has, made of ``names``."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name in taken:
+            name += "_"
+        taken.add(name)
+        found.append(name)
+    return found
+
+
+def that_stay(df: DataFrame, id_col: str, mark: Column, keys: DataFrame, broadcast_rows: int) -> DataFrame:
+    """The rows of ``df``, whatever columns it has, that ``keys`` (``id, mark, stays, n``) lets stay.
+
+    ``mark`` is the column that with the id tells a row's text. Rows of a key that
+    doesn't stay go; of ``n`` rows repeated with a key that stays, one does. Rows
+    without a key stay.
+    """
+    marked, id_, mark_ = free_names(df, "mark", "key_id", "key_mark")
+    rows = df.withColumn(marked, mark)
+    given = keys.withColumnsRenamed({"id": id_, "mark": mark_})
+    same = rows[id_col].eqNullSafe(F.col(id_)) & (F.col(marked) == F.col(mark_))
+    out = rows.join(small_or_shuffled(given.where("not stays").select(id_, mark_), broadcast_rows), same, "left_anti")
+    repeats = stage(given.where("stays and n > 1").select(id_, mark_), "repeats")
+    if not repeats.isEmpty():
+        same = out[id_col].eqNullSafe(F.col(id_)) & (F.col(marked) == F.col(mark_))
+        once = out.join(repeats, same, "left_semi").dropDuplicates([id_col, marked])
+        out = out.join(repeats, same, "left_anti").unionByName(once)
+    return out.drop(marked)
+
+
 def pair_texts(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """``a, b, text_a, text_b`` of pairs of nodes; ``nodes`` are ``node, text``, a node perhaps repeatedly."""
     pairs = stage(pairs.select("a", "b"), "pairs")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarweave.llm.common import lower_ascii, small_or_shuffled, stage
+from tarweave.llm.common import lower_ascii, small_or_shuffled, stage, that_stay
 from tarweave.llm.words import ragged
 from tarweave.session import ship_package
 
@@ -149,13 +149,6 @@ def exact_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def drop_exact_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` that :func:`exact_copies` keeps, with the columns of ``df``."""
-    found = stage(exact_copies(df, id_col, text_col).where("group_size > 1").select(F.col(id_col).alias("_id"), F.col("fp").alias("_fp"), "kept"), "copies")
-    keys = found.groupBy("_id", "_fp").agg(F.max("kept").alias("_stays"), F.count("*").alias("_n"))
-    marked = df.withColumn("_print", F.xxhash64(lower_ascii(F.col(text_col))))
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_print") == F.col("_fp"))
-    out = marked.join(small_or_shuffled(keys.where("not _stays"), BROADCAST_ROWS), same, "left_anti")
-    repeats = stage(keys.where("_stays and _n > 1"), "repeats")
-    if not repeats.isEmpty():
-        once = out.join(repeats, same, "left_semi").dropDuplicates([id_col, "_print"])
-        out = out.join(repeats, same, "left_anti").unionByName(once)
-    return out.drop("_print")
+    found = stage(exact_copies(df, id_col, text_col).where("group_size > 1").select(F.col(id_col).alias("id"), F.col("fp").alias("mark"), "kept"), "copies")
+    keys = found.groupBy("id", "mark").agg(F.max("kept").alias("stays"), F.count("*").alias("n"))
+    return that_stay(df, id_col, F.xxhash64(lower_ascii(F.col(text_col))), keys, BROADCAST_ROWS)

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarweave.llm.common import small_or_shuffled, stage
+from tarweave.llm.common import small_or_shuffled, stage, that_stay
 from tarweave.llm.spans import text_slices
 from tarweave.llm.words import Words, find_words, mix
 from tarweave.session import ship_package
@@ -283,7 +283,5 @@ def benchmark_matches(
 def drop_contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` in which :func:`benchmark_matches` finds nothing, with the columns of ``df``."""
     found = benchmark_matches(df, benchmark, id_col, text_col)
-    keys = stage(found.select(F.col(id_col).alias("_id"), F.col("print").alias("_key")).distinct(), "contaminated")
-    marked = df.withColumn("_print", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_print") == F.col("_key"))
-    return marked.join(small_or_shuffled(keys, BROADCAST_ROWS), same, "left_anti").drop("_print")
+    gone = found.select(F.col(id_col).alias("id"), F.col("print").alias("mark"), F.lit(False).alias("stays"), F.lit(1).alias("n"))
+    return that_stay(df, id_col, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), stage(gone.distinct(), "contaminated"), BROADCAST_ROWS)

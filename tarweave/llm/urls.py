@@ -55,11 +55,12 @@ def listed_intervals(entries: DataFrame) -> DataFrame:
 
 
 def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
-    """``captures`` (``id, url, fetched_at long``, unique ids) with ``categories`` and ``kept``.
+    """``captures`` (``id, url, fetched_at long``) with ``categories`` and ``kept``.
 
     ``categories`` are those, sorted and comma-joined, that list the URL when it was
     fetched; ``kept`` is whether there are none. A null URL or time falls under
-    nothing and is kept. Other columns of ``captures`` are not returned.
+    nothing and is kept. Rows may repeat an id: each is judged by its own URL and
+    time. Other columns of ``captures`` are not returned.
     """
     captures = captures.select("id", "url", "fetched_at")
     spans = listed_intervals(entries)
@@ -73,13 +74,15 @@ def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
     )
     keys = (
         captures.where("fetched_at IS NOT NULL")
-        .select("id", "fetched_at", F.floor(F.col("fetched_at") / PERIOD).alias("period"), F.explode(patterns_of(F.col("url"))).alias("pattern"))
+        .select("id", "url", "fetched_at", F.floor(F.col("fetched_at") / PERIOD).alias("period"), F.explode(patterns_of(F.col("url"))).alias("pattern"))
     )
     hits = (
         keys.join(periods, ["pattern", "period"])
         .where("since <= fetched_at AND (until IS NULL OR fetched_at < until)")
-        .groupBy("id").agg(F.array_join(F.array_sort(F.collect_set("category")), ",").alias("categories"))
+        .groupBy("id", "url", "fetched_at").agg(F.array_join(F.array_sort(F.collect_set("category")), ",").alias("categories"))
     )
-    return captures.join(hits.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left").select(
+    hits = hits.withColumnsRenamed({"id": "_id", "url": "_url", "fetched_at": "_at"})
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("url") == F.col("_url")) & (F.col("fetched_at") == F.col("_at"))
+    return captures.join(hits, same, "left").select(
         "id", "url", "fetched_at", F.coalesce("categories", F.lit("")).alias("categories"), F.col("categories").isNull().alias("kept")
     )

@@ -9,7 +9,7 @@ import pytest
 
 from tarweave.llm import graph, passages, quotient, weighted_minhash, words
 
-CLASHES = "id long, node string, print string, fp string, n string, size string, keep string, text_a string"
+CLASHES = "id long, node string, print string, fp string, n string, size string, keep string, text_a string, _id string, _fp string, _print string, _node string, _key string, _n string, _stays string, mark string, key_id string, key_mark string, MARK_ string"
 
 
 def made_documents(seed=0, n=60):

@@ -1,17 +1,19 @@
 """License scans, benchmark matches, quality, URL filters, chat formatting."""
 
 import random
+import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from tarweave.llm import chat, licenses, quality, templates, urls
 from tarweave.session import ship_package
 
-CLASHES = "id long, print string, words string, n_words string, blocks string, label string, hash string, n string, item string, score string, predicted string"
+CLASHES = "id long, print string, words string, n_words string, blocks string, label string, hash string, n string, item string, score string, predicted string, _id string, _print string, _key string, _stays string, _n string, mark string, key_id string, key_mark string"
 
 
 def frame(spark, rows, schema, extra=CLASHES):
@@ -71,6 +73,94 @@ def test_exchanged_slots_are_found_when_consistent(spark):
     assert templates.drop_contaminated(df, bench.limit(0)).count() == len(rows)
 
 
+def read_words(text):
+    """``(word, kind)`` of a text of ASCII signs: 0 a literal, else what it stands for."""
+    out = []
+    for k, m in enumerate(re.finditer(r"[0-9A-Za-z]+", text)):
+        word, at = m.group(), m.start()
+        kind = 1 if word.isdigit() else 0
+        if word.lower() in templates.UNITS:
+            kind = 2
+        named = word[0].isupper() and len(word) > 1 and not word[1].isupper()
+        if kind == 0 and k and named and text[at - 1] in " \t" and text[at - 2] not in ".!?:;\n\r\"'([{ \t":
+            kind = 3
+        out.append((word.lower(), kind))
+    return out
+
+
+def read_windows(text, shorter=None):
+    """``{key: [(place, values)]}`` of a text's windows, and how many places there are; ``shorter`` are lengths of short items."""
+    words, found = read_words(text), []
+    for at in range(len(words) - 7):
+        own = words[at:at + 8]
+        plain = [(w, 0 if k == 3 else k) for w, k in own]
+        ways = [plain] if sum(k == 0 for _, k in plain) >= 4 else []
+        if not ways:
+            found.append((("words", *(w for w, _ in own)), at, ()))
+        if any(k == 3 for _, k in own) and sum(k == 0 for _, k in own) >= 4:
+            ways.append(own)
+        for way in ways:
+            found.append((("template", *(k or w for w, k in way)), at, tuple((w, k) for w, k in way if k)))
+    for n in range(1, 8) if shorter is None else shorter:
+        if shorter is not None or len(words) == n:
+            found += [(("words", *(w for w, _ in words[at:at + n])), at, ()) for at in range(len(words) - n + 1)]
+    return found, max(len(words) - 7, min(len(words), 1))
+
+
+def brute_matches(docs, items):
+    shorter = {n for _, t in items if 0 < (n := len(read_words(t))) < 8}
+    out = []
+    for item, wanted in items:
+        own, total = read_windows(wanted)
+        for doc_id, text in docs:
+            distances = defaultdict(list)
+            for key, pos, values in read_windows(text, shorter)[0]:
+                for other, place, theirs in own:
+                    if key == other:
+                        distances[pos - place].append((place, pos, list(zip(theirs, values))))
+            runs = []
+            for found in distances.values():
+                pairs = {p for _, _, values in found for p in values}
+                if len({a for a, _ in pairs}) == len(pairs):
+                    runs.append(({place for place, _, _ in found}, min(pos for _, pos, _ in found), sum(a != b for a, b in pairs), len(pairs)))
+            seen = set().union(*(r[0] for r in runs))
+            if total and len(seen) / total >= 0.5:
+                best = max((len(r[0]), -r[2], r[3]) for r in runs)
+                out.append((doc_id, item, len(seen), len(seen) / total, best[2], -best[1], min(r[1] for r in runs), len(runs)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_matches_equal_all_windows_at_all_distances(spark, seed):
+    """Random items, and documents that hold them with values exchanged, consistently or not, cut and repeated."""
+    rnd = random.Random(seed)
+    vocabulary = "the a of keep give box train walks each then how many left after buy Paris Lima Anna Bell 3 12 70 5 5 km hours dollars days".split()
+    items = []
+    for i in range(12):
+        n = rnd.choice([1, 4, 7, 8, 9, 14, 25])
+        items.append((i, " ".join(rnd.choice(vocabulary) + rnd.choice(["", "", "", ".", ","]) for _ in range(n)).capitalize()))
+    docs = []
+    for k in range(60):
+        parts = []
+        for _ in range(rnd.randrange(1, 4)):
+            text = rnd.choice(items)[1]
+            for a, b in (("3", "44"), ("70", "8"), ("Anna", "Peter"), ("Lima", "Rome"), ("km", "miles")):
+                if rnd.random() < 0.4:
+                    text = re.sub(rf"\b{a}\b", b, text, count=rnd.choice([0, 0, 1]))
+            words = text.split(" ")
+            if rnd.random() < 0.3:
+                words = words[rnd.randrange(len(words)):]
+            if rnd.random() < 0.3:
+                words[rnd.randrange(len(words))] = "instead"
+            parts += [" ".join(words), " ".join(rnd.choice(vocabulary) for _ in range(rnd.randrange(6)))]
+        docs.append((k, rnd.choice([" ", ". ", "\n"]).join(parts)))
+    got = templates.benchmark_matches(frame(spark, docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    columns = ("doc_id", "item_id", "windows", "coverage", "slots", "exchanged", "first_word", "places")
+    want = brute_matches(docs, items)
+    assert sorted(tuple(r) for r in got.select(*columns).collect()) == want
+    assert len(want) > 30 and any(r[5] for r in want)
+
+
 def test_items_of_numbers_and_short_items_are_found(spark):
     sums = "What is 12 + 7 + 30 + 41 + 5 + 66 + 7 + 81 + 9 + 10 + 11 + 2 + 13 altogether"
     sequence = "2 4 8 16 32 64 128 256 512"
@@ -190,6 +280,11 @@ def test_captures_against_dated_entries(spark):
             if when is not None and at <= when and url and under(p):
                 last[p, c] = on
         assert got[i] == ",".join(sorted({c for (_, c), on in last.items() if on})), (i, url, when)
+    # Rows that repeat an id are judged each by itself.
+    listed = spark.createDataFrame([("bad.com", "spam", 0, True)], "pattern string, category string, at long, listed boolean")
+    same = [(1, "http://bad.com/a", 5), (1, "http://fine.net", 5), (1, "http://bad.com/a", -5), (1, "http://bad.com/a", 5), (None, "http://bad.com", 9), (None, None, None)]
+    judged = Counter(tuple(r) for r in urls.judge(spark.createDataFrame(same, "id long, url string, fetched_at long"), listed).collect())
+    assert judged == Counter((*r, "spam" if r[1] and "bad" in r[1] and r[2] > 0 else "", not (r[1] and "bad" in r[1] and r[2] > 0)) for r in same)
     assert urls.judge(df.limit(0), spark.createDataFrame([], "pattern string, category string, at long, listed boolean")).count() == 0
 
 
