@@ -6,13 +6,15 @@ with the probability of their weighted Jaccard similarity. Documents that agree
 all samples of one of the bands share a bucket and are candidates. Candidates are
 verified by their weighted Jaccard similarity, SIMILARITY or more.
 
-Equal texts are one node from the start. In a bucket not all pairs are compared:
+Equal texts are one node from the start. A sketch of each text, a byte of every
+sample, tells most pairs apart that share a bucket by chance; whole texts are compared
+of the others. In a bucket not all pairs are compared:
 its members are compared with a leader; two of which each is linked with the
 leader are in one class already. What is left goes round by round: of members
 that may still be linked with another class, some lead again, eight times as many
 each round, and are compared with those members only whose distance to the first
-leader differs by no more than the distance allowed (that distance is a metric,
-so others cannot be near). When no bucket has two such members any more, every
+leader, where it is known, differs by no more than the distance allowed (that
+distance is a metric, so others cannot be near). When no bucket has two such members any more, every
 pair of a bucket has been decided.
 
 The rarity of a shingle is taken from document frequencies summed in 2^DF_BITS
@@ -30,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarweave.llm.common import pair_texts, small_or_shuffled, stage
+from tarweave.llm.common import pair_texts, stage, that_stay
 from tarweave.llm.graph import components, joined
 from tarweave.llm.spans import text_slices
 from tarweave.llm.words import find_words, mix, shingles
@@ -40,6 +42,13 @@ SHINGLE = 5
 SIMILARITY = 0.8
 SAMPLES, BANDS = 64, 16
 DF_BITS = 20
+#: Numbers of a sketch, each of a byte of eight samples.
+SKETCH = SAMPLES // 8
+#: Standard deviations below their mean at which the samples agree of texts that are too unlike to be
+#: compared: 3 in 10,000 pairs of the least similarity that counts have fewer.
+SLACK = 3.5
+#: Bytes of texts and shingles that a comparing worker holds.
+HELD = 32 << 20
 #: Entries of the frequency table that travel in one row.
 _CELL = 1 << 12
 #: Rows up to which keys are broadcast (24 bytes each); beyond, joins shuffle.
@@ -152,8 +161,14 @@ def node_of(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
-def _buckets(texts: DataFrame, weights: np.ndarray) -> DataFrame:
-    """``bucket, node`` for every band of every text that has words (``node, text``)."""
+def sketch(samples: np.ndarray) -> np.ndarray:
+    """A byte of each sample, eight to a number: ``[row, SKETCH]``."""
+    return (samples * np.uint32(0x9E3779B1) >> np.uint32(24)).astype(np.uint8).view("<i8")
+
+
+def _signed(texts: DataFrame, weights: np.ndarray) -> DataFrame:
+    """``node, buckets, s0, s1, ...`` of every text that has words (``node, text``): a bucket for each band, and the sketch."""
+    names = ["node", "buckets", *(f"s{k}" for k in range(SKETCH))]
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -163,12 +178,25 @@ def _buckets(texts: DataFrame, weights: np.ndarray) -> DataFrame:
                 own = np.flatnonzero(np.diff(rows))
                 if len(own):
                     logs = np.log(counts * weights[_cell(hashes)]).astype(np.float32)
-                    found = bands(signatures(hashes, logs, np.append(rows[own], len(hashes))))
-                    nodes = batch.column("node").take(pa.array(np.repeat(own + done, BANDS)))
-                    yield pa.RecordBatch.from_arrays([pa.array(found.ravel().view(np.int64)), nodes], ["bucket", "node"])
+                    samples = signatures(hashes, logs, np.append(rows[own], len(hashes)))
+                    bounds = pa.array(np.arange(len(own) + 1) * BANDS, pa.int32())
+                    buckets = pa.ListArray.from_arrays(bounds, pa.array(bands(samples).ravel().view(np.int64)))
+                    yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(own + done)), buckets, *map(pa.array, sketch(samples).T.copy())], names)
                 done += len(part)
 
-    return texts.select("node", "text").mapInArrow(sign, "bucket long, node binary")
+    schema = "node binary, buckets array<long>, " + ", ".join(f"s{k} long" for k in range(SKETCH))
+    return texts.select("node", "text").mapInArrow(sign, schema)
+
+
+def _agreeing(a: str, b: str) -> Column:
+    """How many samples of two sketches agree, by their columns' prefixes: bytes of the exclusive or that are zero."""
+    total = []
+    for k in range(SKETCH):
+        x = f"({a}{k} ^ {b}{k})"
+        for shift in (4, 2, 1):
+            x = f"({x} | shiftrightunsigned({x}, {shift}))"
+        total.append(f"bit_count({x} & 72340172838076673)")  # the lowest bit of every byte
+    return F.expr(f"{8 * SKETCH} - ({' + '.join(total)})")
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], weights: np.ndarray) -> float:
@@ -184,14 +212,15 @@ def _verified(pairs: DataFrame, nodes: DataFrame, weights: np.ndarray) -> DataFr
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            far, known = [], {}
+            far, known, held = [], {}, 0
             for text_a, text_b in zip(batch.column("text_a"), batch.column("text_b")):
                 sides = []
                 for text in (text_a.as_py(), text_b.as_py()):
                     if text not in known:
-                        if len(known) > 1 and sum(map(len, known)) > 32 << 20:
-                            known = {}
+                        if held > HELD:
+                            known, held = {}, 0
                         known[text] = counted_shingles(pa.array([text]))[:2]
+                        held += len(text) + sum(side.nbytes for side in known[text])
                     sides.append(known[text])
                 far.append(1 - similarity(*sides, weights))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(far, pa.float64())], ["a", "b", "far"])
@@ -202,18 +231,22 @@ def _verified(pairs: DataFrame, nodes: DataFrame, weights: np.ndarray) -> DataFr
 def near_classes(nodes: DataFrame, weights: np.ndarray, similarity: float = SIMILARITY) -> DataFrame:
     """``node, root`` of the ``nodes`` (``node, text``) that have near copies: one root for all that hang together."""
     limit = 1 - similarity + 1e-12
-    found = _buckets(nodes, weights)
-    members = stage(found.distinct(), "buckets")
+    sketches = [f"s{k}" for k in range(SKETCH)]
+    signed = stage(_signed(nodes, weights).dropDuplicates(["node"]), "signed")
+    members = signed.select("node", F.explode("buckets").alias("bucket"))
     leaders = members.groupBy("bucket").agg(F.min("node").alias("lead"), F.count("*").alias("n")).where("n > 1").drop("n")
-    members = stage(members.join(leaders, "bucket"), "members")
-    pairs = members.where("node != lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
+    members = stage(members.join(leaders, "bucket").join(signed.drop("buckets"), "node"), "members")
+    lead = members.where("node = lead").select("bucket", *[F.col(c).alias(f"l{c}") for c in sketches])
+    # Only pairs whose sketches are alike are compared by their texts.
+    alike = _agreeing("s", "ls") >= math.floor(SAMPLES * similarity - SLACK * math.sqrt(SAMPLES * similarity * (1 - similarity)))
+    pairs = members.where("node != lead").join(lead, "bucket").where(alike).select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
     far = stage(_verified(pairs, nodes, weights), "distances")
     labels = components(far.where(F.col("far") <= limit).select("a", "b"))
-    # Members that a bucket's first leader did not decide: with their distance to it. The leader itself is done.
+    # Members that a bucket's first leader did not decide: with their distance to it, if it is known. The leader itself is done.
     open_ = (
         members.where("node != lead")
-        .join(far.select(F.col("a").alias("lead"), F.col("b").alias("node"), "far"), ["lead", "node"])
-        .select("bucket", "node", "far")
+        .join(far.select(F.col("a").alias("lead"), F.col("b").alias("node"), "far"), ["lead", "node"], "left")
+        .select("bucket", "node", "far", *sketches)
     )
     width = 8
     while True:
@@ -227,19 +260,19 @@ def near_classes(nodes: DataFrame, weights: np.ndarray, similarity: float = SIMI
         turn = Window.partitionBy("bucket").orderBy("node")
         lead = (
             open_.where("root != largest").withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= width)
-            .select("bucket", F.col("node").alias("lead"), F.col("far").alias("lead_far"), F.col("root").alias("lead_root"))
+            .select("bucket", F.col("node").alias("lead"), F.col("far").alias("lead_far"), F.col("root").alias("lead_root"), *[F.col(c).alias(f"l{c}") for c in sketches])
         )
         lead = stage(lead, "lead")
         pairs = (
             open_.join(lead, "bucket")
-            .where((F.col("root") != F.col("lead_root")) & (F.abs(F.col("far") - F.col("lead_far")) <= limit))
+            .where((F.col("root") != F.col("lead_root")) & alike & (F.coalesce(F.abs(F.col("far") - F.col("lead_far")), F.lit(0)) <= limit))
             .select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b"))
             .distinct()
         )
         more = stage(_verified(pairs, nodes, weights).where(F.col("far") <= limit).select("a", "b"), "more")
         if not more.isEmpty():
             labels = joined(labels, more)
-        open_ = open_.select("bucket", "node", "far").join(lead.select("bucket", F.col("lead").alias("node")), ["bucket", "node"], "left_anti")
+        open_ = open_.select("bucket", "node", "far", *sketches).join(lead.select("bucket", F.col("lead").alias("node")), ["bucket", "node"], "left_anti")
         width *= 8
 
 
@@ -276,13 +309,6 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 
 def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """One row of each class of :func:`near_copies`, with the columns of ``df``."""
-    found = near_copies(df, id_col, text_col, similarity).where("class_size > 1").select(F.col(id_col).alias("_id"), F.col("print").alias("_node"), "kept")
-    keys = stage(found.groupBy("_id", "_node").agg(F.max("kept").alias("_stays"), F.count("*").alias("_n")), "copies")
-    marked = df.withColumn("_print", node_of(F.col(text_col)))
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_print") == F.col("_node"))
-    out = marked.join(small_or_shuffled(keys.where("not _stays"), BROADCAST_ROWS), same, "left_anti")
-    repeats = stage(keys.where("_stays and _n > 1"), "repeats")
-    if not repeats.isEmpty():
-        once = out.join(repeats, same, "left_semi").dropDuplicates([id_col, "_print"])
-        out = out.join(repeats, same, "left_anti").unionByName(once)
-    return out.drop("_print")
+    found = near_copies(df, id_col, text_col, similarity).where("class_size > 1").select(F.col(id_col).alias("id"), F.col("print").alias("mark"), "kept")
+    keys = stage(found.groupBy("id", "mark").agg(F.max("kept").alias("stays"), F.count("*").alias("n")), "copies")
+    return that_stay(df, id_col, node_of(F.col(text_col)), keys, BROADCAST_ROWS)

@@ -295,3 +295,33 @@ def test_passages_of_nothing_and_of_repeated_rows(spark):
     got = Counter((r.doc_id, r.class_id, r.repeated_words) for r in passages.repeated_passages(df).collect())
     assert got == {(2, 2, 60): 2, (None, 2, 60): 1, (5, 5, 0): 2, (None, None, 0): 1}
     assert passages.repeated_passages(df.limit(0)).count() == 0
+
+
+def test_pairs_at_the_threshold_are_candidates():
+    """Of pairs whose similarity is just 0.8, nearly all share a bucket and have sketches that are alike; of pairs at 0.5 few do."""
+    rng = np.random.default_rng(4)
+    share = {}
+    for common in (178, 133):  # of 200 shingles each: 0.80 and 0.50
+        both = 0
+        for _ in range(20):
+            rows = []
+            for _ in range(25):
+                own = rng.integers(0, 1 << 64, 2 * 200 - common, np.uint64)
+                rows += [np.sort(own[:200]), np.sort(np.concatenate([own[:common], own[200:]]))]
+            samples = weighted_minhash.signatures(np.concatenate(rows), np.zeros(50 * 200, np.float32), np.arange(0, 51 * 200, 200))
+            band, sketch = weighted_minhash.bands(samples), weighted_minhash.sketch(samples).view(np.uint8)
+            agree = (sketch[::2] == sketch[1::2]).sum(axis=1)
+            assert (np.abs(agree - (samples[::2] == samples[1::2]).sum(axis=1)) <= 3).all()
+            both += int(((band[::2] == band[1::2]).any(axis=1) & (agree >= 40)).sum())
+        share[common] = both / 500
+    assert share[178] >= 0.99 and share[133] <= 0.15, share
+
+
+def test_sketches_are_compared_in_the_engine(spark):
+    rng = np.random.default_rng(5)
+    a = rng.integers(0, 256, (300, 64)).astype(np.uint8)
+    b = np.where(rng.random((300, 64)) < rng.random((300, 1)), a, rng.integers(0, 256, (300, 64)).astype(np.uint8))
+    rows = [[*map(int, x), *map(int, y)] for x, y in zip(np.ascontiguousarray(a).view("<i8"), np.ascontiguousarray(b).view("<i8"))]
+    df = spark.createDataFrame(rows, ", ".join(f"{side}{k} long" for side in "sl" for k in range(8)))
+    got = [r.n for r in df.select(weighted_minhash._agreeing("s", "l").alias("n")).collect()]
+    assert got == (a == b).sum(axis=1).tolist()
