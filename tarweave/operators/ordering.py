@@ -57,14 +57,20 @@ def assign_batches(
     shard: str = "shard",
     pos: str = "pos",
     block: int = BLOCK,
+    before: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``batch_id``: runs of ``batch_size`` rows of a shard, in order.
 
-    Without ``keep_partial`` the rows of a last, smaller batch are dropped.
+    Without ``keep_partial`` the rows of a last, smaller batch are dropped. With
+    ``before`` (``shard, rows_out``) rows are numbered on after so many.
     """
     if batch_size < 1:
         raise ValueError("batch_size must be at least 1")
     numbered = number_rows(df, shard, pos, block)
+    if before is not None:
+        earlier = before.select(F.col("shard").alias(shard), F.col("rows_out").alias("_earlier"))
+        later = F.coalesce("_earlier", F.lit(0))
+        numbered = numbered.join(earlier, shard, "left").withColumns({c: F.col(c) + later for c in ("row_num", "shard_rows")}).drop("_earlier")
     batched = numbered.withColumn("batch_id", F.expr(f"row_num div {int(batch_size)}"))
     if not keep_partial:
         batched = batched.where((F.col("batch_id") + 1) * batch_size <= F.col("shard_rows"))

@@ -1096,11 +1096,11 @@ def incremental_intake(spark, sf_dir):
 
     def process(shards):
         names = spark.createDataFrame([(r.shard,) for r in shards.select("shard").distinct().collect()], "shard string")
-        run_spec(spark, spec, shards=names)
+        run_spec(spark, spec, shards=names, resume=True)
         taken.append(names)
 
     process_new_shards(spark, inbox, f"{base}/checkpoint", process, max_files=1).awaitTermination()
-    run_spec(spark, spec, shards=taken[-1])
+    run_spec(spark, spec, shards=taken[-1], resume=True)
     rows = read_rows(spark, f"{base}/out/rows", KEY_ROW).select("shard", "key", "txt", "batch_id")
     counts = read_manifest(spark, f"{base}/out").select("shard", "rows_in", "rows_out")
     return rows.join(counts, "shard")

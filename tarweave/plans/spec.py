@@ -19,10 +19,11 @@ from tarweave.operators.mappers import apply_mappers, mapper_configs
 from tarweave.operators.ordering import assign_batches, preview_grid
 from tarweave.operators.samples import RENAME_ORDER
 from tarweave.plans.reading import HEADERS_DIR, found_samples, manifest_counts, shards_to_do, usable_samples, whole_shards, with_contents
+from tarweave.plans.resume import add_before, all_of, record_files, to_do, write_found
 from tarweave.schemas import REJECT
 from tarweave.session import keep, scratch, split_uri, stage
-from tarweave.sources.captions import REJECTS_DIR, add_manifest, adopt, read_manifest, read_rows, withdraw, write_rows
-from tarweave.sources.tar import fetch_parts, fetch_tasks, lay_out, write_laid_out
+from tarweave.sources.captions import REJECTS_DIR, add_manifest, adopt, read_manifest, read_rows, withdraw
+from tarweave.sources.tar import fetch_parts, fetch_tasks, lay_out, parts_of, write_laid_out
 
 KEY_ROW = T.StructType([
     T.StructField("key", T.StringType()),
@@ -82,7 +83,7 @@ def judge(read: DataFrame, spec: Spec) -> DataFrame:
     return read.withColumn("passes", agreed).drop("image", "dominance")
 
 
-def tar_rows(kept: DataFrame, spec: Spec, extra: list[str], tasks: int, cuts: str) -> DataFrame:
+def tar_rows(kept: DataFrame, spec: Spec, extra: list[str], tasks: int, cuts: str, after: DataFrame | None = None) -> DataFrame:
     """Rows for the tar sink, laid out by output file before any byte is read.
 
     Image and metadata come back under their configured names, mapper outputs
@@ -90,7 +91,7 @@ def tar_rows(kept: DataFrame, spec: Spec, extra: list[str], tasks: int, cuts: st
     """
     fields = {name: F.col(f"`{MAPPED}{name}`") for name in extra}
     slim = kept.select("shard", "pos", "key", "url", *fields.values(), F.col("extents").alias("parts"))
-    read = fetch_parts(lay_out(slim, tasks), strict=True, cuts=cuts)
+    read = fetch_parts(lay_out(slim, tasks, after=after), strict=True, cuts=cuts)
     part = F.col("parts")
     image = F.coalesce(*[F.try_element_at("parts", F.lit(s)) for s in RENAME_ORDER])
     named = {spec.img_key: image, spec.meta_key: F.try_element_at("parts", F.lit(spec.meta_key))}
@@ -101,6 +102,12 @@ def tar_rows(kept: DataFrame, spec: Spec, extra: list[str], tasks: int, cuts: st
     return read.withColumn("parts", F.map_concat(others, added))
 
 
+def _recorded(spark: SparkSession, spec: Spec, seen: dict, preview: DataFrame | None = None) -> Outcome:
+    base = spec.output_dir.rstrip("/")
+    rows, rejects = read_rows(spark, f"{base}/rows", KEY_ROW), read_rows(spark, f"{base}/{REJECTS_DIR}", REJECT)
+    return Outcome(rows=rows, rejects=rejects, counts=read_manifest(spark, base), preview=preview, seen=seen)
+
+
 def run_spec(
     spark: SparkSession,
     source: str | dict | Spec,
@@ -111,6 +118,7 @@ def run_spec(
     shards: DataFrame | None = None,
     retry_rejected: bool = False,
     profile: ResourceProfile | None = None,
+    resume: bool = False,
 ) -> Outcome:
     """Run one specification over the shards not yet done.
 
@@ -120,7 +128,10 @@ def run_spec(
     has a new line for each. Rejected samples and damaged files are recorded
     beside the outputs; ``retry_rejected`` takes shards with such again.
     ``debug`` gives the first batch of every shard and writes no output. Images are
-    read and decoded with the resources of ``profile``.
+    read and decoded with the resources of ``profile``. With ``resume`` only files of
+    ``shards`` that are new are read, where they come after those read before: their
+    rows are added and batches numbered on. That needs ``keep_partial`` and no preview;
+    otherwise, and where a file has changed or comes before others, shards are whole.
     """
     started = time.monotonic()
     spec = source if isinstance(source, Spec) else load_spec(source)
@@ -130,10 +141,13 @@ def run_spec(
         if not debug:
             adopt(spark, spec.output_dir)
         if shards is None:
-            shards = shards_to_do(spark, spec.data_path, spec.output_dir, limit, retry_rejected)
+            work = all_of(shards_to_do(spark, spec.data_path, spec.output_dir, limit, retry_rejected))
         else:
-            shards = whole_shards(spark, spec.data_path, shards)
-        names = sorted({r.shard for r in shards.select("shard").distinct().collect()})
+            adding = resume and keep_partial and not (debug or spec.make_visualization)
+            work = to_do(spark, spec.data_path, spec.output_dir, shards) if adding else all_of(whole_shards(spark, spec.data_path, shards))
+        shards, names = work.files, work.names
+        if resume and not names:
+            return _recorded(spark, spec, {"samples": 0, "failed": 0, "kept": 0})
         tasks = fetch_tasks(shards)
         base = spec.output_dir.rstrip("/")
         samples, damage, cuts = found_samples(shards, None if debug else f"{base}/{HEADERS_DIR}")
@@ -160,9 +174,9 @@ def run_spec(
             F.count_if("passes").alias("kept"),
         )
         judged = stage(judged, "judged")
-        rejects = judged.where(F.col("error").isNotNull()).select("shard", "pos", "key", "error")
+        rejects = judged.where(F.col("error").isNotNull()).select("shard", "pos", "key", "error", "url")
 
-        kept = assign_batches(judged.where("passes"), spec.batch_size, keep_partial)
+        kept = assign_batches(judged.where("passes"), spec.batch_size, keep_partial, before=work.before if work.more else None)
         if debug:
             kept = kept.where("batch_id = 0")
         kept = stage(kept.withColumn("txt", caption_from_meta(F.col("json"), spec.txt_key)), "kept")
@@ -171,21 +185,18 @@ def run_spec(
         if debug:
             return Outcome(
                 rows=keep(made, stage(kept.select("shard", *KEY_ROW.fieldNames()), "rows")),
-                rejects=keep(made, stage(rejects, "rejects")),
+                rejects=keep(made, stage(rejects.drop("url"), "rejects")),
                 counts=read_manifest(spark, base),
                 preview=preview,
                 seen=seen.get,
             )
         withdraw(spark, base, names)
-        write_rows(kept, f"{base}/rows", KEY_ROW, shards=names)
-        write_rows(rejects, f"{base}/{REJECTS_DIR}", REJECT, shards=names)
+        write_found(kept, f"{base}/rows", work, KEY_ROW)
+        write_found(rejects, f"{base}/{REJECTS_DIR}", work, REJECT)
         if spec.save_tar:
-            write_laid_out(tar_rows(kept, spec, extra, tasks, cuts), base, replaces=names)
-        add_manifest(manifest_counts(shards, samples, kept, rejects, damage, spec.batch_size, time.monotonic() - started), base)
-        return Outcome(
-            rows=read_rows(spark, f"{base}/rows", KEY_ROW),
-            rejects=read_rows(spark, f"{base}/{REJECTS_DIR}", REJECT),
-            counts=read_manifest(spark, base),
-            preview=preview,
-            seen=seen.get,
-        )
+            after = parts_of(spark, base, work.more) if work.more else None
+            write_laid_out(tar_rows(kept, spec, extra, tasks, cuts, after), base, replaces=work.whole)
+        record_files(work, samples, kept, rejects, base)
+        counts = manifest_counts(shards, samples, kept, rejects, damage, spec.batch_size, time.monotonic() - started)
+        add_manifest(add_before(counts, work, spec.batch_size), base)
+        return _recorded(spark, spec, seen.get, preview)

@@ -1,13 +1,17 @@
 """Pixel statistics, decoding, scores and features against plain numpy."""
 
+import os
 import struct
+import uuid
 import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from helpers import ppm, read_ppm, solid
+from tarweave import submit
 from tarweave.functions.images import (
     channel_histogram,
     decode_image,
@@ -15,11 +19,13 @@ from tarweave.functions.images import (
     is_monochromatic,
     is_not_monochromatic,
 )
-from tarweave.operators.filters import FILTERS, apply_filters, keep_monochrome, register_filter
-from tarweave.operators.generation import features, sampling_params
+from tarweave.functions.text import clean_caption
+from tarweave.operators.filters import FILTERS, apply_filters, keep_monochrome, register_filter, split_rejects
+from tarweave.operators.generation import _answering, answered_in_stage, features, generate_captions, sampling_params
 from tarweave.operators.scoring import align_captions, average_scores, clip_scores
 from tarweave.schemas import IMAGE
 from tarweave.sources.images import read_images
+from tarweave.sources.tar import fetch
 
 
 def images(spark, arrays):
@@ -153,3 +159,58 @@ def test_loose_image_files(spark, tmp_path):
     (folder / "broken.png").write_bytes(b"nothing")
     rows = read_images(spark, str(folder)).select("shard", "key", dominance(F.col("image")).alias("d")).collect()
     assert sorted((r.shard, r.key, round(r.d, 6)) for r in rows) == [("album", "mixed", 0.2), ("album", "plain.v1", 1.0)]
+
+
+def test_rejects_and_good_samples_are_written_at_once(spark, tmp_path):
+    """A codec runs once for each image, and no pixels are written."""
+    calls = str(tmp_path / "calls")
+    os.makedirs(calls)
+
+    def codec(raw):
+        with open(f"{calls}/{uuid.uuid4().hex}", "w"):
+            pass
+        return read_ppm(raw)
+
+    rows = [(i, ppm(solid(i, 0.1)) if i % 3 else b"no image") for i in range(12)]
+    samples = spark.createDataFrame(rows, "id int, raw binary").select("id", decode_image(F.col("raw"), codec).alias("r"))
+    samples = samples.select("id", F.col("r.image").alias("image"), F.map_from_arrays(F.array(F.lit("x")), F.array("r.image.data")).alias("m"), F.col("r.image.width").alias("w"), F.col("r.error").alias("error"))
+    good, bad = split_rejects(samples)
+    assert good.columns == ["id", "w"] and bad.columns == ["id", "w", "error"]
+    assert sorted(map(tuple, good.collect())) == [(i, 10) for i in range(12) if i % 3]
+    assert sorted((r.id, r.w, "not a PPM" in r.error or "unpack" in r.error) for r in bad.collect()) == [(i, None, True) for i in range(0, 12, 3)]
+    assert len(os.listdir(calls)) == 12
+    none, every = split_rejects(samples.where("error IS NOT NULL"))
+    assert none.count() == 0 and every.count() == 4
+
+
+def _stage_profile(df):
+    """The resources of the stage in which a plan runs Python over batches."""
+    node = df._jdf.queryExecution().analyzed()
+    while node.nodeName() != "MapInArrow":
+        node = node.children().head()
+    return node.profile().get().taskResources().apply("cpus").amount() if node.profile().isDefined() else None
+
+
+def test_stages_with_resources_of_their_own(spark):
+    profile = submit.stage_resources({"task_cpus": 3, "task_gpus": 0.5, "executor_cores": 6, "executor_memory": "4g", "executor_gpus": None, "gpu_script": "/find"})
+    assert {k: v.amount for k, v in profile.taskResources.items()} == {"cpus": 3.0, "gpu": 0.5}
+    assert {k: (v.amount, v.discoveryScript) for k, v in profile.executorResources.items()}["gpu"] == (1, "/find")
+    none = dict.fromkeys(("task_cpus", "task_gpus", "executor_cores", "executor_memory", "executor_gpus", "gpu_script"))
+    assert submit.stage_resources(dict(none)) is None
+    cpus = submit.stage_resources(none | {"task_cpus": 3})
+
+    samples = spark.createDataFrame([(1, "a", ppm(solid(1))), (2, None, ppm(solid(2))), (3, "c", b"no image")], "id int, prompt string, image binary")
+    model = lambda: lambda prompts, images: [(f"<b>{p} {i.shape[0]}", 0.5) for p, i in zip(prompts, images)]
+    asked = generate_captions(samples, model, "own", decode=read_ppm, profile=cpus)
+    assert _stage_profile(asked) == 3
+    slim = spark.createDataFrame([("/x.tar", {"jpg": (0, 5)})], "url string, parts map<string,struct<offset:long,size:long>>")
+    assert _stage_profile(fetch(slim, None, [T.StructField("n", T.LongType())], lambda parts: ([0], 0), profile=cpus)) == 3
+    assert _stage_profile(fetch(slim, None, [T.StructField("n", T.LongType())], lambda parts: ([0], 0))) is None
+    # The rows are those of the stage without resources, which a local master can run.
+    columns = ["id", "caption", "caption_error", "score"]
+    answer = _answering(model, "other", 32, 1, 0, read_ppm)
+    plain = generate_captions(samples, model, "other", tries=1, decode=read_ppm).select(columns).orderBy("id").collect()
+    staged = answered_in_stage(samples, answer, "prompt", "image", None).select(
+        "id", clean_caption(F.col("_answer.text")).alias("caption"), F.col("_answer.error").alias("caption_error"), F.col("_answer.score").alias("score")
+    )
+    assert staged.orderBy("id").collect() == plain and [r.caption for r in plain] == ["a 10", None, None]

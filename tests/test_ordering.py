@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tarweave.operators.joins import last_per_key, lookup
+from tarweave.operators.joins import last_per_key, lookup, read_by_shard, store_by_shard
 from tarweave.operators.mappers import AddFieldsConfig, add_fields, add_fields_from_files
 from tarweave.operators.ordering import assign_batches, first_rows, number_rows, preview_grid
 from tarweave.operators.shards import limit_shards, pending_shards
@@ -76,8 +76,51 @@ def test_hot_key_lookup(spark, how):
     right = spark.createDataFrame(keys, "key string, v int")
     got = sorted(map(tuple, lookup(left, right, ["key"], how).select("id", "key", "v").collect()),
                  key=str)
-    want = sorted(map(tuple, left.join(right, "key", how).select("id", "key", "v").collect()), key=str)
-    assert got == want
+    known = dict(keys)
+    rows = [(i, "hot" if i % 3 == 0 else f"k{i % 50}") for i in range(600)]
+    assert got == sorted(((i, k, known.get(k)) for i, k in rows if how == "left" or k in known), key=str)
+
+
+def test_a_hot_key_is_split(spark):
+    """Adaptive execution splits the partition of a key with a third of all rows, each part with the key's single right row."""
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "20",
+    }
+    before = {name: spark.conf.get(name) for name in small}
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 5000))
+        left = spark.range(0, 60_000, 1, 8).select(key.alias("key"), "id", F.sha2(F.col("id").cast("string"), 256).alias("more"))
+        right = spark.createDataFrame([("hot", 1)] + [(f"k{i}", i) for i in range(5000)], "key string, v int")
+        found = lookup(left, right, ["key"])
+        # Executed, so that the plan is the one that was adapted.
+        assert found.toPandas().groupby("key").size()["hot"] == 20_000
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def test_tables_by_shard_are_joined_where_they_lie(spark):
+    rows = [(f"s{i % 7}", f"k{i}", i) for i in range(300)]
+    samples = spark.createDataFrame(rows, "shard string, key string, n int")
+    metadata = spark.createDataFrame([(s, k, j, f"{k}-{j}" if j or n % 5 else None) for s, k, n in rows if n % 3 for j in range(2)], "shard string, key string, pos long, txt string")
+    samples, metadata = (read_by_shard(spark, store_by_shard(df, 4)) for df in (samples, metadata))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = add_fields(samples, metadata, AddFieldsConfig("add_fields", "txt", "t", ""))
+        got = sorted(map(tuple, found.select("shard", "key", "n", "t").collect()))
+        assert got == sorted((s, k, n, f"{k}-1") for s, k, n in rows if n % 3)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_last_per_key_keeps_nulls(spark):
