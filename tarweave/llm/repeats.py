@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -250,7 +251,7 @@ def _repeats_of(right: np.ndarray, left: np.ndarray, age: np.ndarray) -> Iterato
                 yield extension, prefix, group[np.argsort(age[group])]
 
 
-def _compare(rows: dict[str, np.ndarray], context: np.ndarray) -> list[tuple]:
+def _compare(rows: dict[str, np.ndarray], context: np.ndarray) -> Iterator[tuple]:
     """Occurrences of the maximal repeats of some anchors; rows are in order of anchors and suffixes."""
     anchor, ords, start = rows["anchor"], rows["ord"], rows["start"]
     left, right = context[:, REACH - 1::-1], context[:, REACH:]
@@ -258,12 +259,11 @@ def _compare(rows: dict[str, np.ndarray], context: np.ndarray) -> list[tuple]:
     age[np.lexsort((start, ords))] = np.arange(len(ords))
     bounds = np.flatnonzero(np.concatenate([[True], np.diff(anchor) != 0, [True]]))
     size = np.diff(bounds)
-    out = []
 
-    def add(extension, prefix, members):
+    def spans(extension, prefix, members):
         first = members[0]
         for m in members[1:]:
-            out.append((int(ords[m]), int(start[m] - extension), int(start[m] + prefix), int(ords[first]), int(start[first] - extension)))
+            yield int(ords[m]), int(start[m] - extension), int(start[m] + prefix), int(ords[first]), int(start[first] - extension)
 
     # Two contexts are one interval.
     pairs = bounds[:-1][size == 2]
@@ -271,11 +271,10 @@ def _compare(rows: dict[str, np.ndarray], context: np.ndarray) -> list[tuple]:
         prefix, extension = (_agreeing(side[pairs], side[pairs + 1]) for side in (right, left))
         for k in np.flatnonzero((prefix >= GRAM) & (prefix + extension >= LENGTH)):
             two = (pairs[k], pairs[k] + 1)
-            add(int(extension[k]), int(prefix[k]), two if age[two[0]] < age[two[1]] else two[::-1])
+            yield from spans(int(extension[k]), int(prefix[k]), two if age[two[0]] < age[two[1]] else two[::-1])
     for a, n in zip(bounds[:-1][size > 2].tolist(), size[size > 2].tolist()):
         for extension, prefix, members in _repeats_of(right[a:a + n], left[a:a + n], age[a:a + n]):
-            add(extension, prefix, members + a)
-    return out
+            yield from spans(extension, prefix, members + a)
 
 
 SPANS = "ord long, start long, stop long, earlier_ord long, earlier_start long"
@@ -289,10 +288,9 @@ def _suffix_arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     def compared(table: pa.Table) -> Iterator[pa.RecordBatch]:
         rows = {n: table.column(n).combine_chunks().to_numpy(zero_copy_only=False) for n in ("anchor", "ord", "start")}
         raw = b"".join(table.column("context").to_pylist())
-        found = _compare(rows, np.frombuffer(raw, np.uint8).reshape(-1, REACH + LENGTH))
-        # Of repeats around one anchor the spans overlap.
-        for k in range(0, len(found), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found[k:k + 100_000])], schema=schema)
+        # Repeats within repeats: an anchor of many contexts can give far more rows than it has.
+        for found in batched(_compare(rows, np.frombuffer(raw, np.uint8).reshape(-1, REACH + LENGTH)), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], schema=schema)
 
     count = 0
     for batch in batches:
