@@ -289,6 +289,60 @@ def test_exact_passages_in_a_family_of_variants(spark):
     assert all(want[i] <= {w for s in whole[i].spans for w in range(s.first, s.last + 1)} for i in want)
 
 
+def test_similar_passages_in_a_family_of_variants(spark):
+    rnd = random.Random(9)
+    word = lambda: f"w{rnd.randrange(10**9)}"
+    base = [word() for _ in range(60)]
+    # Variants are of a similarity of about 0.3; each planted pair differs in one word, and from the variants as these do.
+    variant = lambda: [w if k // 10 not in own else word() for own in [set(rnd.sample(range(6), 2))] for k, w in enumerate(base)]
+    around = lambda text: " ".join([word() for _ in range(5)] + text + [word() for _ in range(5)])
+    rows = [(i, around(variant())) for i in range(130)]
+    for k in range(10):
+        one = variant()
+        rows += [(1000 + 2 * k, around(one)), (1001 + 2 * k, around([*one[:30], word(), *one[31:]]))]
+    token = {i: passages.tokens(pa.array([t]))[0] for i, t in rows}
+    pairs, spans = [], defaultdict(set)
+    for x, (a, _) in enumerate(rows):
+        for b, _ in rows[:x]:
+            for p, q, u, v in passages.common_passages(token[a], token[b]):
+                pairs.append((a, b))
+                spans[a] |= set(range(p, q + 5))
+                spans[b] |= set(range(u, v + 5))
+    want = classes(pairs, [i for i, _ in rows])
+    assert all(want[1000 + 2 * k] == want[1001 + 2 * k] for k in range(10))
+    for parts in (1, 5):
+        got = {r.doc_id: r for r in passages.repeated_passages(frame(spark, rows).repartition(parts)).collect()}
+        assert {i: r.class_id for i, r in got.items()} == want
+        for i, r in got.items():
+            own = {w for s in r.spans for w in range(s.first, s.last + 1)}
+            assert len(own & spans[i]) >= 0.9 * len(own | spans[i])
+
+
+@pytest.mark.parametrize("repeated", (False, True))
+def test_windows_of_a_group_are_compared_until_they_are_decided(repeated):
+    rng = np.random.default_rng(13)
+    new = lambda n: rng.integers(0, 1 << 63, n).astype(np.uint64)
+    line = new(7) if repeated else new(70)
+    families = [np.resize(new(5), 91) if repeated else new(91) for _ in range(6)]
+    words, of = [], []
+    for k in range(120):
+        own = families[k % 6].copy()
+        own[41:41 + len(line[:8])] = line[:8]
+        if not repeated:
+            own[5 + k % 30] = new(1)[0]
+        words.append(own)
+        of.append(k % 6)
+    node = np.arange(120) + 1000
+    win = np.full(120, (145 << 16) | (45 << 8) | 45)
+    group = passages._Group(node, win, np.full(120, 100), words)
+    found = list(group.passages())
+    assert all(max(t[1] for t in spans) <= 190 and min(t[0] for t in spans) >= 100 for _, _, spans in found)
+    linked = classes([(a, b) for a, b, _ in found], node.tolist())
+    brute = classes([(x + 1000, y + 1000) for x in range(120) for y in range(x) if passages.common_passages(words[x], words[y])], node.tolist())
+    assert linked == brute and len(set(linked.values())) == (6 if not repeated else len(set(brute.values())))
+    assert len(found) < 3 * 120 or repeated
+
+
 def test_passages_of_nothing_and_of_repeated_rows(spark):
     long = " ".join(f"w{k}" for k in range(60))
     df = frame(spark, [(2, long), (2, long), (None, long), (5, "short"), (5, "short"), (None, None)], CLASHES)
