@@ -112,7 +112,7 @@ class _Encoder:
         for k, part in enumerate(new):
             if isinstance(part, _Whole):
                 found[k], part.text = self._ids(part.text), None
-            elif self.model is not None and part.isalpha() and max(part) <= self.LATIN and part == part.lower():
+            elif self.model is not None and part.isalpha() and (part.isascii() or max(part) <= self.LATIN) and part == part.lower():
                 found[k] = [t.id for t in self.model.tokenize(part if part.isascii() else "".join(self.signs[b] for b in part.encode()))]
             elif part:
                 others.append(k)
@@ -155,17 +155,21 @@ class _Encoder:
         cut = np.diff(offsets) > 1
         cut[cut] = _TAIL[raw[ends[cut] - 1]] & _PLAIN[raw[ends[cut] - 2]]
         heads = [c[:-1] if tail else c for c, tail in zip(chunks.dictionary.to_pylist(), cut.tolist())]
-        tails = np.array([self.known[sign] for sign in TAILS])
-        head = np.fromiter(map(self.known.__getitem__, heads), np.int64, len(heads))
-        tail = np.full(len(heads), -1)
-        tail[cut] = tails[_TAIL_NUMBER[raw[ends[cut] - 1]]]
+        tails = np.array([self.known[sign] for sign in TAILS], np.int32)
+        marks = _TAIL_NUMBER[raw[ends[cut] - 1]]
+        head = np.fromiter(map(self.known.__getitem__, heads), np.int32, len(heads))
+        del heads, raw  # a worker holds little beside what it remembers
+        tail = np.full(len(head), -1, np.int32)
+        tail[cut] = tails[marks]
         codes = chunks.indices.to_numpy(zero_copy_only=False)
         first, second = head[codes], tail[codes]
+        del codes, chunks
         size = 1 + (second >= 0)
         ends = np.cumsum(size)
-        numbers = np.empty(int(ends[-1]) if len(ends) else 0, np.int64)
+        numbers = np.empty(int(ends[-1]) if len(ends) else 0, np.int32)
         numbers[ends - size] = first
         numbers[ends[second >= 0] - 1] = second[second >= 0]
+        del first, second, size
         bounds = np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)))
         at = np.append(0, ends)[bounds]
         for k in np.flatnonzero(special).tolist():
@@ -178,7 +182,7 @@ class _Encoder:
 _encoders: dict[str, _Encoder] = {}
 
 
-def encode(text: Column, path: str, end_id: int, block: int = 8 << 20) -> Column:
+def encode(text: Column, path: str, end_id: int, block: int = 4 << 20) -> Column:
     """Ids of ``text`` by the tokenizer file at ``path`` and ``end_id`` after them; null is empty.
 
     For tokenizers that drop white space. No special tokens are added; strings of

@@ -1,6 +1,8 @@
 """Encoders against the libraries they agree with, decoding, and the token files."""
 
+import inspect
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -82,6 +84,16 @@ def test_word_ids_are_those_of_the_library():
         assert ids[end - count:end].tolist() == plain.encode(text, add_special_tokens=False).ids + [2], repr(text)
 
 
+def test_blocks_take_little_memory_beside_what_is_remembered():
+    size = inspect.signature(token_files.encode).parameters["block"].default
+    texts, encoder = ["so it is, as we are. " * (size // 21 // 4)] * 4, token_files._Encoder(WORDS)
+    tracemalloc.start()
+    encoder.encode(texts, 2)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 160 << 20
+
+
 def test_token_files(spark):
     ship_package(spark)
     rows = [(i * 7 % 2003, f"text number {i} " * (i % 9)) for i in range(2003)] + [(5, "again"), (5, "again"), (None, "no id"), (3000, None)]
