@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from tarweave.llm.spans import Numbered, Spans, id_lists, text_blocks
 from tarweave.llm.words import ragged
 
-#: Pieces that one recursive query encodes; its rows fit in MEMORY.
-PIECES = 8_000
+#: Pieces that one recursive query encodes; its rows fit in MEMORY. Each step builds on the whole merge table, so few queries are better.
+PIECES = 24_000
 #: Pieces and chunks that a worker remembers.
 REMEMBERED = 600_000
 #: Beyond so many bytes a piece is merged with a heap, as one contraction a step costs the square of its length.

@@ -49,6 +49,20 @@ def test_forgetting_changes_nothing(library, monkeypatch):
         assert encoder.encode([text])[0].tolist() == library.encode_ordinary(text)
 
 
+def test_few_queries_merge_many_pieces():
+    words, met = bpe.vocabulary(RANKS), []
+    rnd = random.Random(4)
+    pieces = list({"".join(rnd.choice("abcdeé") for _ in range(9)).encode() for _ in range(20_000)})
+    for own, ids, counts in words.encode(pieces):
+        if counts.size and own:
+            ends = np.cumsum(counts)
+            met.append([(pieces[i], ids[e - c:e]) for i, c, e in zip(own, counts.tolist(), ends.tolist())])
+    assert sum(map(len, met)) == len(pieces)
+    tokens = {i: t for t, i in words.ranks.items()}
+    assert all(b"".join(tokens[i] for i in ids.tolist()) == piece for block in met for piece, ids in block)
+    assert len(met) <= 2  # those that are tokens, and one query for all others
+
+
 def test_long_pieces_merge_in_the_same_order(library):
     words = bpe.vocabulary(RANKS)
     rnd = random.Random(1)
