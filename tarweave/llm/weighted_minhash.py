@@ -10,12 +10,14 @@ Equal texts are one node from the start. A sketch of each text, a byte of every
 sample, tells most pairs apart that share a bucket by chance; whole texts are compared
 of the others. In a bucket not all pairs are compared:
 its members are compared with a leader; two of which each is linked with the
-leader are in one class already. What is left goes round by round: of members
-that may still be linked with another class, some lead again, eight times as many
-each round, and are compared with those members only whose distance to the first
-leader, where it is known, differs by no more than the distance allowed (that
-distance is a metric, so others cannot be near). When no bucket has two such members any more, every
-pair of a bucket has been decided.
+leader are in one class already. In buckets with several classes left, every pair
+of members of two classes is decided, but by tasks that hold the members, so no row
+is made for a pair: sketches first, in blocks of members, and then the texts of
+those members that have someone to be compared with. Members whose distances to the
+leader, where these are known, differ by more than the distance allowed are not
+compared (that distance is a metric, so they cannot be near), nor are those that
+share an earlier bucket, which decides them, or are linked by then. A task hands on
+only links that join two classes.
 
 The rarity of a shingle is taken from document frequencies summed in 2^DF_BITS
 places by hash, over all documents: a table of fixed size.
@@ -32,10 +34,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarweave.llm.common import pair_texts, stage, that_stay
+from tarweave.llm.common import BROADCAST_ROWS, pair_texts, stage, texts_of, that_stay
 from tarweave.llm.graph import components, joined
 from tarweave.llm.spans import text_slices
-from tarweave.llm.words import find_words, mix, shingles
+from tarweave.llm.words import find_words, mix, ragged, shingles
 from tarweave.session import ship_package
 
 SHINGLE = 5
@@ -49,10 +51,10 @@ SKETCH = SAMPLES // 8
 SLACK = 3.5
 #: Bytes of texts and shingles that a comparing worker holds.
 HELD = 32 << 20
+#: Members of a block, and bytes of their texts: a task holds two blocks at once.
+BLOCK_ROWS, BLOCK_BYTES = 4096, 4 << 20
 #: Entries of the frequency table that travel in one row.
 _CELL = 1 << 12
-#: Rows up to which keys are broadcast (24 bytes each); beyond, joins shuffle.
-BROADCAST_ROWS = 200_000
 #: The weight of a shingle that every document has; 1 is that of the rarest.
 FLOOR = 0.8
 
@@ -167,8 +169,8 @@ def sketch(samples: np.ndarray) -> np.ndarray:
 
 
 def _signed(texts: DataFrame, weights: np.ndarray) -> DataFrame:
-    """``node, buckets, s0, s1, ...`` of every text that has words (``node, text``): a bucket for each band, and the sketch."""
-    names = ["node", "buckets", *(f"s{k}" for k in range(SKETCH))]
+    """``node, buckets, bytes, s0, s1, ...`` of every text that has words (``node, text``): a bucket for each band, its length, the sketch."""
+    names = ["node", "buckets", "bytes", *(f"s{k}" for k in range(SKETCH))]
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,10 +183,11 @@ def _signed(texts: DataFrame, weights: np.ndarray) -> DataFrame:
                     samples = signatures(hashes, logs, np.append(rows[own], len(hashes)))
                     bounds = pa.array(np.arange(len(own) + 1) * BANDS, pa.int32())
                     buckets = pa.ListArray.from_arrays(bounds, pa.array(bands(samples).ravel().view(np.int64)))
-                    yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(own + done)), buckets, *map(pa.array, sketch(samples).T.copy())], names)
+                    size = pc.cast(pc.binary_length(part), pa.int64()).take(pa.array(own))
+                    yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(own + done)), buckets, size, *map(pa.array, sketch(samples).T.copy())], names)
                 done += len(part)
 
-    schema = "node binary, buckets array<long>, " + ", ".join(f"s{k} long" for k in range(SKETCH))
+    schema = "node binary, buckets array<long>, bytes long, " + ", ".join(f"s{k} long" for k in range(SKETCH))
     return texts.select("node", "text").mapInArrow(sign, schema)
 
 
@@ -228,6 +231,151 @@ def _verified(pairs: DataFrame, nodes: DataFrame, weights: np.ndarray) -> DataFr
     return pair_texts(pairs, nodes).mapInArrow(compare, "a binary, b binary, far double")
 
 
+#: What a group of rows is compared as: the blocks ``lo`` and ``hi`` of a bucket.
+_GROUP = ["bucket", "lo", "hi"]
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Rows in order of their groups, as tables of whole groups and where each group starts and ends."""
+    held, last = [], None
+
+    def table() -> tuple[pa.Table, np.ndarray]:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        keys = np.stack([rows.column(c).to_numpy() for c in _GROUP], 1)
+        return rows, np.concatenate([[0], np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1, [len(keys)]])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(c).to_numpy() for c in _GROUP], 1)
+        change = (keys[1:] != keys[:-1]).any(1)
+        starts = np.flatnonzero(np.append(last is not None and bool((keys[0] != last).any()), change))
+        last = keys[-1]
+        if len(starts):
+            cut = int(starts[-1])
+            held.append(batch.slice(0, cut))
+            if any(b.num_rows for b in held):
+                yield table()
+            held = [batch.slice(cut)]
+        else:
+            held.append(batch)
+    if held:
+        yield table()
+
+
+class _Group:
+    """Members of a block, or of two blocks that are compared with each other, the commonest class last."""
+
+    def __init__(self, rows: pa.Table, alike: int, limit: float):
+        _, root = np.unique(rows.column("root").combine_chunks().cast(pa.binary()).to_numpy(zero_copy_only=False), return_inverse=True)
+        self.order = np.lexsort((root, np.bincount(root)[root]))
+        self.root = root[self.order]
+        self.alike, self.limit = alike, limit
+        self.bucket = rows.column("bucket")[0].as_py()
+        self.sketch = np.stack([rows.column(f"s{k}").to_numpy()[self.order].view(np.uint8).reshape(-1, 8) for k in range(SKETCH)])
+        self.buckets = rows.column("buckets").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)[self.order]
+        self.far = rows.column("far").to_numpy()[self.order]  # unknown: not a number
+        across = rows.column("lo")[0].as_py() != rows.column("hi")[0].as_py()
+        self.block = rows.column("block").to_numpy()[self.order] if across else None
+
+    def others(self, i: int) -> np.ndarray:
+        """Members after member ``i`` that it has to be compared with."""
+        open_ = self.root[i + 1:] != self.root[i]
+        if self.block is not None:
+            open_ &= self.block[i + 1:] != self.block[i]
+        open_ &= ~(np.abs(self.far[i + 1:] - self.far[i]) > self.limit)
+        at = np.flatnonzero(open_) + i + 1
+        if not len(at):
+            return at
+        # Eight bytes of zeros and ones at once: their sums fit in a byte.
+        same = (self.sketch[:, at] == self.sketch[:, i:i + 1]).view(np.uint64)[:, :, 0].sum(0, dtype=np.uint64)
+        at = at[(same * np.uint64(0x0101010101010101) >> np.uint64(56)) >= self.alike]
+        if len(at):
+            # Of the buckets that two share, the first decides.
+            first = (self.buckets[at] == self.buckets[i]).argmax(1)
+            at = at[self.buckets[i][first] == self.bucket]
+        return at
+
+    def done(self, i: int) -> bool:
+        """Whether the members from ``i`` on are in one class."""
+        return bool((self.root[i:] == self.root[i]).all())
+
+
+def _with_others(rows: DataFrame, alike: int, limit: float) -> DataFrame:
+    """The rows of groups that have another row of their group to be compared with."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, bounds in _whole_groups(batches):
+            stay = np.zeros(len(table), bool)
+            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                group = _Group(table.slice(a, b - a), alike, limit)
+                for i in range(b - a - 1):
+                    if group.done(i):
+                        break
+                    at = group.others(i)
+                    if len(at):
+                        stay[a + group.order[i]] = True
+                        stay[a + group.order[at]] = True
+            if stay.any():
+                yield from table.filter(pa.array(stay)).to_batches()
+
+    return rows.repartition(*_GROUP).sortWithinPartitions(*_GROUP).mapInArrow(keep, rows.schema)
+
+
+def _links(rows: DataFrame, weights: np.ndarray, alike: int, limit: float) -> DataFrame:
+    """``a, b`` of nodes whose texts are near, for rows of groups with their ``text``: no more than join the classes of a group."""
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, bounds in _whole_groups(batches):
+            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                found_a, found_b = [], []
+                rows = table.slice(a, b - a)
+                group = _Group(rows, alike, limit)
+                texts = rows.column("text").combine_chunks().take(pa.array(group.order))
+                parts = [counted_shingles(part) for part in text_slices(texts)]
+                hashes = np.concatenate([p[0] for p in parts])
+                weight = np.concatenate([p[1] for p in parts]) * weights[_cell(hashes)].astype(np.float64)
+                size = np.concatenate([np.diff(p[2]) for p in parts])
+                start = np.cumsum(size) - size
+                total = np.add.reduceat(weight, start)
+                known, number = np.unique(hashes, return_inverse=True)
+                own = np.zeros(len(known))
+                for i in range(b - a - 1):
+                    if group.done(i):
+                        break
+                    at = group.others(i)
+                    if not len(at):
+                        continue
+                    mine = slice(start[i], start[i] + size[i])
+                    own[number[mine]] = weight[mine]
+                    theirs = ragged(start[at], size[at])
+                    both = np.add.reduceat(np.minimum(weight[theirs], own[number[theirs]]), np.cumsum(size[at]) - size[at])
+                    own[number[mine]] = 0
+                    at = at[1 - both / (total[i] + total[at] - both) <= limit]
+                    classes, first = np.unique(group.root[at], return_index=True)
+                    if len(classes):
+                        found_a += [group.order[i]] * len(classes)
+                        found_b += group.order[at[first]].tolist()
+                        group.root[np.isin(group.root, classes)] = group.root[i]
+                if found_a:
+                    nodes = rows.column("node").combine_chunks()
+                    yield pa.RecordBatch.from_arrays([nodes.take(pa.array(found_a)), nodes.take(pa.array(found_b))], ["a", "b"])
+
+    return rows.repartition(*_GROUP).sortWithinPartitions(*_GROUP).mapInArrow(link, "a binary, b binary")
+
+
+def _blocks(members: DataFrame) -> DataFrame:
+    """Each member once for every two blocks of its bucket that it is compared in: ``block, lo, hi``."""
+    earlier = Window.partitionBy("bucket").orderBy("node").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.count("*").over(earlier) / BLOCK_ROWS + F.coalesce(F.sum("bytes").over(earlier), F.lit(0)) / BLOCK_BYTES
+    return (
+        members.withColumn("block", F.floor(before).cast("long"))
+        .withColumn("last", F.max("block").over(Window.partitionBy("bucket")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last"))))
+        .withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")).drop("last", "other", "bytes")
+    )
+
+
 def near_classes(nodes: DataFrame, weights: np.ndarray, similarity: float = SIMILARITY) -> DataFrame:
     """``node, root`` of the ``nodes`` (``node, text``) that have near copies: one root for all that hang together."""
     limit = 1 - similarity + 1e-12
@@ -235,45 +383,32 @@ def near_classes(nodes: DataFrame, weights: np.ndarray, similarity: float = SIMI
     signed = stage(_signed(nodes, weights).dropDuplicates(["node"]), "signed")
     members = signed.select("node", F.explode("buckets").alias("bucket"))
     leaders = members.groupBy("bucket").agg(F.min("node").alias("lead"), F.count("*").alias("n")).where("n > 1").drop("n")
-    members = stage(members.join(leaders, "bucket").join(signed.drop("buckets"), "node"), "members")
-    lead = members.where("node = lead").select("bucket", *[F.col(c).alias(f"l{c}") for c in sketches])
+    members = stage(members.join(leaders, "bucket"), "members")
     # Only pairs whose sketches are alike are compared by their texts.
-    alike = _agreeing("s", "ls") >= math.floor(SAMPLES * similarity - SLACK * math.sqrt(SAMPLES * similarity * (1 - similarity)))
-    pairs = members.where("node != lead").join(lead, "bucket").where(alike).select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
+    enough = math.floor(SAMPLES * similarity - SLACK * math.sqrt(SAMPLES * similarity * (1 - similarity)))
+    lead = signed.select(F.col("node").alias("lead"), *[F.col(c).alias(f"l{c}") for c in sketches])
+    pairs = (
+        members.where("node != lead").select("lead", "node").distinct()
+        .join(signed.select("node", *sketches), "node").join(lead, "lead")
+        .where(_agreeing("s", "ls") >= enough).select(F.col("lead").alias("a"), F.col("node").alias("b"))
+    )
     far = stage(_verified(pairs, nodes, weights), "distances")
     labels = components(far.where(F.col("far") <= limit).select("a", "b"))
     # Members that a bucket's first leader did not decide: with their distance to it, if it is known. The leader itself is done.
+    marked = (
+        members.where("node != lead").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    )
+    several = marked.groupBy("bucket").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least != most").select("bucket")
     open_ = (
-        members.where("node != lead")
-        .join(far.select(F.col("a").alias("lead"), F.col("b").alias("node"), "far"), ["lead", "node"], "left")
-        .select("bucket", "node", "far", *sketches)
+        marked.join(several, "bucket")
+        .join(far.select(F.col("a").alias("lead"), F.col("b").alias("node"), "far"), ["lead", "node"], "left").drop("lead")
+        .join(signed, "node")
     )
-    width = 8
-    while True:
-        marked = open_.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        classes = marked.groupBy("bucket", "root").agg(F.count("*").alias("size"))
-        several = classes.groupBy("bucket").agg(F.count("*").alias("k"), F.max(F.struct("size", "root")).alias("most")).where("k > 1")
-        open_ = stage(marked.join(several.select("bucket", F.col("most.root").alias("largest")), "bucket"), "open")
-        if open_.isEmpty():
-            return labels
-        # Leaders come from all classes but the largest of the bucket: then only that one is left at last.
-        turn = Window.partitionBy("bucket").orderBy("node")
-        lead = (
-            open_.where("root != largest").withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= width)
-            .select("bucket", F.col("node").alias("lead"), F.col("far").alias("lead_far"), F.col("root").alias("lead_root"), *[F.col(c).alias(f"l{c}") for c in sketches])
-        )
-        lead = stage(lead, "lead")
-        pairs = (
-            open_.join(lead, "bucket")
-            .where((F.col("root") != F.col("lead_root")) & alike & (F.coalesce(F.abs(F.col("far") - F.col("lead_far")), F.lit(0)) <= limit))
-            .select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b"))
-            .distinct()
-        )
-        more = stage(_verified(pairs, nodes, weights).where(F.col("far") <= limit).select("a", "b"), "more")
-        if not more.isEmpty():
-            labels = joined(labels, more)
-        open_ = open_.select("bucket", "node", "far", *sketches).join(lead.select("bucket", F.col("lead").alias("node")), ["bucket", "node"], "left_anti")
-        width *= 8
+    rows = stage(_with_others(_blocks(open_), enough, limit), "open")
+    if rows.isEmpty():
+        return labels
+    found = _links(rows.join(texts_of(rows, nodes), "node"), weights, enough, limit)
+    return joined(labels, stage(found.distinct(), "more"))
 
 
 def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:

@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tarweave.llm import graph, passages, quotient, weighted_minhash, words
+from tarweave.llm import common, graph, passages, quotient, weighted_minhash, words
 
 CLASHES = "id long, node string, print string, fp string, n string, size string, keep string, text_a string, _id string, _fp string, _print string, _node string, _key string, _n string, _stays string, mark string, key_id string, key_mark string, MARK_ string"
 
@@ -135,6 +135,36 @@ def test_near_copies_of_nothing_and_of_repeated_rows(spark):
     assert weighted_minhash.near_copies(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("block", [5, 4096])
+def test_texts_just_too_far_make_no_row_for_each_pair(spark, monkeypatch, block):
+    """Many texts of one bucket, most of them a little too unlike, some in chains: whole classes, and rows in proportion to texts."""
+    rnd = random.Random(3)
+    base = [f"w{k}" for k in range(120)]
+    rows = []
+    for k in range(120):
+        text = list(base)
+        for at in rnd.sample(range(120), 1 + (k % 6 > 0) + (k % 6 > 4)):
+            text[at] = f"x{k}y{at}"
+        rows.append((k, " ".join(text)))
+    counts = []
+
+    def counted(df, label):
+        out = stage(df, label)
+        counts.append((out.count(), label))
+        return out
+
+    stage = weighted_minhash.stage
+    for module in (weighted_minhash, common, graph):
+        monkeypatch.setattr(module, "stage", counted)
+    monkeypatch.setattr(weighted_minhash, "BLOCK_ROWS", block, raising=False)
+    df = frame(spark, rows).repartition(4)
+    got = {r.doc_id: r.class_id for r in weighted_minhash.near_copies(df).collect()}
+    want = brute_near(rows, weighted_minhash.rarity(df))
+    assert 10 < len(set(want.values())) < 110 and got == want
+    if block > len(rows):
+        assert max(counts)[0] <= weighted_minhash.BANDS * len(rows), max(counts)
+
+
 def test_rounds_find_links_that_leaders_miss(spark):
     """A chain: each text is near the next only, and all of a bucket's leader are too far from most."""
     base = [f"w{k}" for k in range(200)]
