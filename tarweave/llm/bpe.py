@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tarweave.llm.spans import Numbered, Spans, id_lists, text_blocks
+from tarweave.llm.spans import Numbered, Spans, id_lists, text_blocks, worker_state
 from tarweave.llm.words import ragged
 
 #: Pieces that one recursive query encodes; its rows fit in MEMORY. Each step builds on the whole merge table, so few queries are better.
@@ -215,19 +215,20 @@ class _Encoder:
 
 
 _RUN = re.compile(r"\s ").search
-_known: dict[tuple, object] = {}
 
 
 def vocabulary(path: str) -> _Vocabulary:
-    if path not in _known:
-        _known[path] = _Vocabulary(path)
-    return _known[path]
+    known = worker_state("bpe")
+    if path not in known:
+        known[path] = _Vocabulary(path)
+    return known[path]
 
 
 def _encoder(path: str, pattern: str) -> _Encoder:
-    if (path, pattern) not in _known:
-        _known[path, pattern] = _Encoder(path, pattern)
-    return _known[path, pattern]
+    known = worker_state("bpe")
+    if (path, pattern) not in known:
+        known[path, pattern] = _Encoder(path, pattern)
+    return known[path, pattern]
 
 
 def encode(text: Column, path: str, pattern: str, block: int = 4 << 20) -> Column:

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tarweave.llm.spans import Numbered, Spans, id_lists, text_slices
+from tarweave.llm.spans import Numbered, Spans, id_lists, text_slices, worker_state
 from tarweave.llm.words import text_bytes
 
 #: Chunks of text that a worker remembers the ids of.
@@ -179,9 +179,6 @@ class _Encoder:
         return np.insert(ids, np.cumsum(sizes), end_id), sizes + 1
 
 
-_encoders: dict[str, _Encoder] = {}
-
-
 def encode(text: Column, path: str, end_id: int, block: int = 4 << 20) -> Column:
     """Ids of ``text`` by the tokenizer file at ``path`` and ``end_id`` after them; null is empty.
 
@@ -192,9 +189,10 @@ def encode(text: Column, path: str, end_id: int, block: int = 4 << 20) -> Column
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        if path not in _encoders:
-            _encoders[path] = _Encoder(path)
-        encoder = _encoders[path]
+        known = worker_state("token files")
+        if path not in known:
+            known[path] = _Encoder(path)
+        encoder = known[path]
         for texts in batches:
             yield id_lists([encoder.encode(part, end_id) for part in text_slices(texts, block)])
 

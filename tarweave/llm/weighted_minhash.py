@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from tarweave.llm.common import BROADCAST_ROWS, pair_texts, stage, texts_of, that_stay
 from tarweave.llm.graph import components, joined
-from tarweave.llm.spans import text_slices
+from tarweave.llm.spans import text_slices, worker_state
 from tarweave.llm.words import find_words, mix, ragged, shingles
 from tarweave.session import ship_package
 
@@ -50,7 +50,9 @@ SKETCH = SAMPLES // 8
 #: compared: 3 in 10,000 pairs of the least similarity that counts have fewer.
 SLACK = 3.5
 #: Bytes of texts and shingles that a comparing worker holds.
-HELD = 32 << 20
+HELD = 16 << 20
+#: Bytes of texts that are cut into shingles at once, with some twenty times as many beside them.
+SLICE = 1 << 20
 #: Members of a block, and bytes of their texts: a task holds two blocks at once.
 BLOCK_ROWS, BLOCK_BYTES = 4096, 4 << 20
 #: Entries of the frequency table that travel in one row.
@@ -89,10 +91,11 @@ def rarity(df: DataFrame, text_col: str = "text") -> np.ndarray:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("near copies")
         sums, docs = np.zeros(1 << DF_BITS, np.int64), 0
         for batch in batches:
             docs += batch.num_rows
-            for texts in text_slices(batch.column(0)):
+            for texts in text_slices(batch.column(0), SLICE):
                 sums += np.bincount(_cell(counted_shingles(texts)[0]), minlength=len(sums))
         if docs:
             # A partition's counts fit in 32 bits.
@@ -173,9 +176,10 @@ def _signed(texts: DataFrame, weights: np.ndarray) -> DataFrame:
     names = ["node", "buckets", "bytes", *(f"s{k}" for k in range(SKETCH))]
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("near copies")
         for batch in batches:
             done = 0
-            for part in text_slices(batch.column("text")):
+            for part in text_slices(batch.column("text"), SLICE):
                 hashes, counts, rows = counted_shingles(part)
                 own = np.flatnonzero(np.diff(rows))
                 if len(own):
@@ -214,6 +218,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, weights: np.ndarray) -> DataFr
     """``a, b, far``: the distance of each pair of nodes, by their whole texts."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("near copies")
         for batch in batches:
             far, known, held = [], {}, 0
             for text_a, text_b in zip(batch.column("text_a"), batch.column("text_b")):
@@ -239,8 +244,8 @@ def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table,
     """Rows in order of their groups, as tables of whole groups and where each group starts and ends."""
     held, last = [], None
 
-    def table() -> tuple[pa.Table, np.ndarray]:
-        rows = pa.Table.from_batches(held).combine_chunks()
+    def table(batches: list[pa.RecordBatch]) -> tuple[pa.Table, np.ndarray]:
+        rows = pa.Table.from_batches(batches).combine_chunks()
         keys = np.stack([rows.column(c).to_numpy() for c in _GROUP], 1)
         return rows, np.concatenate([[0], np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1, [len(keys)]])
 
@@ -252,15 +257,17 @@ def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table,
         starts = np.flatnonzero(np.append(last is not None and bool((keys[0] != last).any()), change))
         last = keys[-1]
         if len(starts):
-            cut = int(starts[-1])
-            held.append(batch.slice(0, cut))
+            first, cut = int(starts[0]), int(starts[-1])
+            held.append(batch.slice(0, first))
             if any(b.num_rows for b in held):
-                yield table()
+                yield table(held)
+            if cut > first:
+                yield table([batch.slice(first, cut - first)])
             held = [batch.slice(cut)]
         else:
             held.append(batch)
     if held:
-        yield table()
+        yield table(held)
 
 
 class _Group:
@@ -305,6 +312,7 @@ def _with_others(rows: DataFrame, alike: int, limit: float) -> DataFrame:
     """The rows of groups that have another row of their group to be compared with."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("near copies")
         for table, bounds in _whole_groups(batches):
             stay = np.zeros(len(table), bool)
             for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
@@ -326,13 +334,14 @@ def _links(rows: DataFrame, weights: np.ndarray, alike: int, limit: float) -> Da
     """``a, b`` of nodes whose texts are near, for rows of groups with their ``text``: no more than join the classes of a group."""
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("near copies")
         for table, bounds in _whole_groups(batches):
             for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
                 found_a, found_b = [], []
                 rows = table.slice(a, b - a)
                 group = _Group(rows, alike, limit)
                 texts = rows.column("text").combine_chunks().take(pa.array(group.order))
-                parts = [counted_shingles(part) for part in text_slices(texts)]
+                parts = [counted_shingles(part) for part in text_slices(texts, SLICE)]
                 hashes = np.concatenate([p[0] for p in parts])
                 weight = np.concatenate([p[1] for p in parts]) * weights[_cell(hashes)].astype(np.float64)
                 size = np.concatenate([np.diff(p[2]) for p in parts])

@@ -3,6 +3,7 @@
 import inspect
 import random
 import tracemalloc
+import weakref
 import zlib
 
 import numpy as np
@@ -12,7 +13,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from tarweave.llm import bpe, token_files
+from tarweave.llm import bpe, spans, token_files
 from tarweave.session import ship_package, split_uri, work_dir
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -140,3 +141,16 @@ def test_no_documents(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     token_files.write_tokens(token_files.in_order(empty, "doc_id", "text").select("doc_id", token_files.encode(F.col("text"), WORDS, 2).alias("ids")), path)
     assert token_files.positions(spark, path).count() == 0
+
+
+def test_a_worker_lets_go_of_what_another_operator_remembers():
+    first = spans.worker_state("a")
+    first["x"] = 1
+    assert spans.worker_state("a") is first
+    assert spans.worker_state("b") == {} and spans.worker_state("a") == {}
+    words = bpe.vocabulary(RANKS)
+    assert bpe.vocabulary(RANKS) is words
+    gone = weakref.ref(words)
+    del words
+    spans.worker_state("near copies")
+    assert gone() is None
