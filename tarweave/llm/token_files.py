@@ -37,12 +37,14 @@ FORMAT = {
 }
 
 
-#: Signs that are chunks of their own after an ASCII letter or digit.
-TAILS = ".,;:!?"
-_TAIL, _PLAIN, _TAIL_NUMBER = np.zeros(256, bool), np.zeros(256, bool), np.zeros(256, np.int64)
+#: Signs of which a run at the end of a chunk is a chunk of its own after a letter or digit.
+TAILS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_TAIL, _PLAIN, _LATIN = np.zeros(256, bool), np.zeros(256, bool), np.zeros(256, bool)
 _TAIL[list(TAILS.encode())] = True
-_TAIL_NUMBER[list(TAILS.encode())] = np.arange(len(TAILS))
 _PLAIN[ord("0"):ord("9") + 1] = _PLAIN[ord("a"):ord("z") + 1] = _PLAIN[ord("A"):ord("Z") + 1] = True
+#: Second bytes, after 0xC3, of the letters from U+00C0 to U+00FF; two signs lie between them.
+_LATIN[0x80:0xC0] = True
+_LATIN[[0x97, 0xB7]] = False
 
 
 class _Whole:
@@ -62,8 +64,8 @@ def _byte_signs() -> list[str]:
 class _Encoder:
     """Ids of texts by a tokenizer that drops white space, so that chunks between spaces and line ends encode alone.
 
-    Different chunks of a block of texts are looked up once. A sign of TAILS after
-    an ASCII letter or digit is a chunk of its own, as no piece has both. Latin
+    Different chunks of a block of texts are looked up once. A run of TAILS at the end
+    of one, after a letter or digit, is a chunk of its own, as no piece has both. Latin
     words in lower case go to the tokenizer's model as they are, if its
     configuration says that a run of letters is a piece; the rest goes to the library.
     """
@@ -152,15 +154,21 @@ class _Encoder:
         chunks = (pc.ascii_lower(chunks) if self.lowers else chunks).dictionary_encode()
         raw, offsets = text_bytes(chunks.dictionary)
         ends = offsets[1:]
-        cut = np.diff(offsets) > 1
-        cut[cut] = _TAIL[raw[ends[cut] - 1]] & _PLAIN[raw[ends[cut] - 2]]
-        heads = [c[:-1] if tail else c for c, tail in zip(chunks.dictionary.to_pylist(), cut.tolist())]
-        tails = np.array([self.known[sign] for sign in TAILS], np.int32)
-        marks = _TAIL_NUMBER[raw[ends[cut] - 1]]
+        # The last byte of each chunk that is none of TAILS; of an empty first chunk, there is none.
+        last = np.append(np.maximum.accumulate(np.where(_TAIL[raw], -1, np.arange(len(raw)))), -1)[ends - 1]
+        own = last >= offsets[:-1]
+        after = own & _PLAIN[np.append(raw, 0)[last]]
+        wide = np.flatnonzero(own & ~after & (last > offsets[:-1]))
+        after[wide] = (raw[last[wide] - 1] == 0xC3) & _LATIN[raw[last[wide]]]
+        length = np.where(after, ends - 1 - last, 0)
+        cut = length > 0
+        words = chunks.dictionary.to_pylist()
+        tails = [self.known[words[k][-n:]] for k, n in zip(np.flatnonzero(cut).tolist(), length[cut].tolist())]
+        heads = [c[:-n] if n else c for c, n in zip(words, length.tolist())]
         head = np.fromiter(map(self.known.__getitem__, heads), np.int32, len(heads))
-        del heads, raw  # a worker holds little beside what it remembers
+        del heads, words, raw  # a worker holds little beside what it remembers
         tail = np.full(len(head), -1, np.int32)
-        tail[cut] = tails[marks]
+        tail[cut] = tails
         codes = chunks.indices.to_numpy(zero_copy_only=False)
         first, second = head[codes], tail[codes]
         del codes, chunks

@@ -154,3 +154,14 @@ def test_a_worker_lets_go_of_what_another_operator_remembers():
     del words
     spans.worker_state("near copies")
     assert gone() is None
+
+
+def test_signs_after_a_word_do_not_send_it_to_the_library(monkeypatch):
+    encoder, sent, together = token_files._Encoder(WORDS), [], token_files._Encoder._together
+    monkeypatch.setattr(token_files._Encoder, "_together", lambda self, chunks: sent.extend(chunks) or together(self, chunks))
+    texts = ["", "word$$$ été. größe.,%%% Word!! naïve\n(986)", "a×, b÷- ab…. é́, it's. 'tis' x' $$$ x÷", "\u0301. e\u0301.", ".", "É!!! ȿ,", "don't.\"", "a_b__ <|x|> 2½.", ""]
+    ids, sizes = encoder.encode(texts, 2)
+    want = [[*encoder._ids(t), 2] for t in texts]
+    assert ids.tolist() == [i for w in want for i in w] and sizes.tolist() == [len(w) for w in want]
+    assert encoder.encode([""], 2)[0].tolist() == [2] and encoder.encode([], 2)[1].tolist() == []
+    assert not {"word$$$", "été.", "größe.,%%%", "word!!"} & set(sent)
