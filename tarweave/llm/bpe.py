@@ -36,26 +36,27 @@ REMEMBERED = 600_000
 #: Beyond so many bytes a piece is merged with a heap, as one contraction a step costs the square of its length.
 LONG_PIECE = 400
 MEMORY = "200MB"
+#: Stands for the id after a piece's last token.
+NO_ID = (1 << 32) - 1
 #: Token rows that one decoding query handles.
 DECODE_ROWS = 250_000
 
+#: A row is a token of a piece: where it starts and ends, and its id and the next token's in one number. The token that goes
+#: takes the other's start, so a step needs no join of a piece's tokens with each other; those of a piece without a pair are done.
 _ENCODE = """
-WITH RECURSIVE t(w, pos, nxt, id, step) AS (
-  SELECT w, pos, pos + 1, id, 0 FROM pieces
+WITH RECURSIVE t(w, pos, nxt, pair, done) AS (
+  SELECT w, pos, pos + 1, pair, false FROM pieces
   UNION ALL
-  (WITH pairs AS (
-     SELECT a.w, a.pos, b.pos AS gone, b.nxt AS upto, n
-     FROM t a JOIN t b ON a.w = b.w AND a.nxt = b.pos JOIN merges ON pair = (a.id::BIGINT << 32) + b.id),
-   best AS (
-     SELECT w, min((n::BIGINT << 32) | (pos << 16) | gone) AS k, arg_min(upto, (n::BIGINT << 16) | pos) AS upto
-     FROM pairs GROUP BY w)
-   SELECT t.w, pos,
-          CASE WHEN pos = (k >> 16) & 65535 THEN upto ELSE nxt END,
-          CASE WHEN pos = (k >> 16) & 65535 THEN (k >> 32)::INTEGER ELSE id END,
-          step + 1
-   FROM t JOIN best USING (w) WHERE pos <> k & 65535)
-), last AS (SELECT w, max(step) AS step FROM t GROUP BY w)
-SELECT w, list(id ORDER BY pos) AS ids FROM t JOIN last USING (w, step) GROUP BY w ORDER BY w
+  (WITH best AS (
+     SELECT w, min((n::BIGINT << 32) | (pos << 16) | nxt) AS k FROM t JOIN merges USING (pair) WHERE NOT done GROUP BY w),
+   cut AS (
+     SELECT w, k >> 32 AS n, ((k >> 16) & 65535)::INTEGER AS head, (k & 65535)::INTEGER AS gone FROM best)
+   SELECT t.w, CASE WHEN pos = gone THEN head ELSE pos END, nxt,
+          CASE WHEN pos = gone THEN (n << 32) | (pair & 4294967295) WHEN nxt = head THEN (pair >> 32 << 32) | n ELSE pair END,
+          head IS NULL
+   FROM t LEFT JOIN cut USING (w) WHERE NOT done AND (head IS NULL OR pos <> head))
+)
+SELECT w, list((pair >> 32)::INTEGER) AS ids FROM (SELECT w, pair FROM t WHERE done ORDER BY w, pos) GROUP BY w ORDER BY w
 """
 _DECODE = """
 SELECT d, unhex(string_agg(hex, '')) AS raw
@@ -113,11 +114,13 @@ class _Vocabulary:
         for k in range(0, len(todo), PIECES):
             own = todo[k:k + PIECES]
             lengths = np.fromiter((len(pieces[i]) for i in own), np.int64, len(own))
-            raw = np.frombuffer(b"".join(pieces[i] for i in own), np.uint8)
+            ids = self.byte_ids[np.frombuffer(b"".join(pieces[i] for i in own), np.uint8)].astype(np.int64)
+            follows = np.append(ids[1:], 0)
+            follows[np.cumsum(lengths) - 1] = NO_ID
             self.db.register("pieces", pa.table({
                 "w": np.repeat(np.arange(len(own), dtype=np.int32), lengths),
                 "pos": ragged(np.zeros(len(own), np.int64), lengths).astype(np.int32),
-                "id": self.byte_ids[raw],
+                "pair": (ids << 32) | (follows & NO_ID),
             }))
             lists = self.db.sql(_ENCODE).to_arrow_table().column("ids").combine_chunks()
             self.db.unregister("pieces")
@@ -242,7 +245,8 @@ def encode(text: Column, path: str, pattern: str, block: int = 4 << 20) -> Colum
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _encoder(path, pattern)
         for texts in batches:
-            yield id_lists([encoder.encode(part) for part in text_blocks(texts, block)])
+            for part in text_blocks(texts, block):
+                yield id_lists([encoder.encode(part)])
 
     return ids(text)
 
@@ -269,12 +273,15 @@ def round_trip(text: Column, path: str, pattern: str, block: int = 4 << 20) -> C
 
     @F.arrow_udf("struct<ids: array<int>, raw: binary>")
     def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder, tokens = _encoder(path, pattern), vocabulary(path)
-        for texts in batches:
-            parts, raw = [], []
-            for part in text_blocks(texts, block):
-                parts.append(encoder.encode(part))
-                raw += tokens.decode(*parts[-1])
-            yield pa.StructArray.from_arrays([id_lists(parts), pa.array(raw, pa.binary())], ["ids", "raw"])
+        yield from _round_trips(batches, path, pattern, block)
 
     return both(text)
+
+
+def _round_trips(batches: Iterator[pa.Array], path: str, pattern: str, block: int) -> Iterator[pa.Array]:
+    """Rows of a block go out before the next one is encoded: ids and bytes of a whole batch are several times its text."""
+    encoder, tokens = _encoder(path, pattern), vocabulary(path)
+    for texts in batches:
+        for part in text_blocks(texts, block):
+            found = encoder.encode(part)
+            yield pa.StructArray.from_arrays([id_lists([found]), pa.array(tokens.decode(*found), pa.binary())], ["ids", "raw"])

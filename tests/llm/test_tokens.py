@@ -2,12 +2,14 @@
 
 import inspect
 import random
+import re
 import tracemalloc
 import weakref
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import tiktoken
@@ -64,6 +66,27 @@ def test_few_queries_merge_many_pieces():
     assert len(met) <= 2  # those that are tokens, and one query for all others
 
 
+def test_a_step_joins_the_tokens_of_pieces_once_with_the_merges_and_once_with_what_goes():
+    words = bpe.vocabulary(RANKS)
+    pieces = {name: pa.array([0, 0], kind) for name, kind in (("w", pa.int32()), ("pos", pa.int32()), ("id", pa.int32()), ("pair", pa.int64()))}
+    words.db.register("pieces", pa.table(pieces))
+    ((_, plan),) = words.db.execute("EXPLAIN " + bpe._ENCODE).fetchall()
+    words.db.unregister("pieces")
+    assert re.sub("[ _]", "", plan).upper().count("HASHJOIN") == 2
+
+
+def test_rows_of_a_block_go_out_before_the_next_is_encoded(library, monkeypatch):
+    done, encode = [], bpe._Encoder.encode
+    monkeypatch.setattr(bpe._Encoder, "encode", lambda self, texts: done.append(len(texts)) or encode(self, texts))
+    texts = pa.array(["one two", None, "three", "", "four five"])
+    rows, ends = [], []
+    for part in bpe._round_trips(iter([texts, texts[:0]]), RANKS, public_tokenizers.PATTERN, 8):
+        rows += part.to_pylist()
+        ends.append((len(rows), sum(done)))
+    assert len(ends) > 1 and all(out == read for out, read in ends)
+    assert [(r["ids"], r["raw"]) for r in rows] == [(library.encode_ordinary(t or ""), (t or "").encode()) for t in texts.to_pylist()]
+
+
 def test_long_pieces_merge_in_the_same_order(library):
     words = bpe.vocabulary(RANKS)
     rnd = random.Random(1)
