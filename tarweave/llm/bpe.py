@@ -234,7 +234,7 @@ def _encoder(path: str, pattern: str) -> _Encoder:
     return known[path, pattern]
 
 
-def encode(text: Column, path: str, pattern: str, block: int = 4 << 20) -> Column:
+def encode(text: Column, path: str, pattern: str, block: int = 1 << 20) -> Column:
     """Token ids of ``text`` as an array; null and empty text have none.
 
     ``path`` is a rank file (base64 token and rank a line) that every executor can
@@ -268,7 +268,7 @@ def decode(ids: Column, path: str) -> Column:
     return raw(ids)
 
 
-def round_trip(text: Column, path: str, pattern: str, block: int = 4 << 20) -> Column:
+def round_trip(text: Column, path: str, pattern: str, block: int = 1 << 20) -> Column:
     """``struct<ids array<int>, raw binary>``: what ``encode`` gives and what ``decode`` makes of it, in one Python worker."""
 
     @F.arrow_udf("struct<ids: array<int>, raw: binary>")

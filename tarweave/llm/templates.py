@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarweave.llm.common import small_or_shuffled, stage, that_stay
-from tarweave.llm.spans import text_slices
+from tarweave.llm.spans import text_slices, worker_state
 from tarweave.llm.words import Words, find_words, mix
 from tarweave.session import ship_package
 
@@ -30,6 +30,8 @@ WINDOW = 8
 LITERALS = 4
 #: Share of an item's windows that have to be found.
 COVERAGE = 0.5
+#: Bytes of text whose windows are made at once; they take some 30 times as much.
+SLICE = 1 << 20
 #: Bits of the map: of a power of two of places, whatever the sizes of the tables.
 MAP_BITS = 24
 #: Windows of the benchmark up to which they are broadcast (some 100 bytes each); beyond, the join shuffles.
@@ -178,10 +180,11 @@ def _windows_of(df: DataFrame, id_col: str, text_col: str, bits: np.ndarray | No
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("benchmark")
         units = _word_hashes(UNITS)
         for batch in batches:
             done = 0
-            for block in text_slices(batch.column("text")):
+            for block in text_slices(batch.column("text"), SLICE):
                 w = windows(block, units)
                 counts = np.diff(w.rows)
                 total = np.maximum(counts - WINDOW + 1, np.minimum(counts, 1))

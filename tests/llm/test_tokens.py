@@ -3,6 +3,7 @@
 import inspect
 import random
 import re
+import resource
 import tracemalloc
 import weakref
 import zlib
@@ -132,6 +133,17 @@ def test_blocks_take_little_memory_beside_what_is_remembered():
     assert peak < 160 << 20
 
 
+def test_a_block_of_a_round_trip_takes_little_memory():
+    size = inspect.signature(bpe.round_trip).parameters["block"].default
+    texts = pa.array(["so it is, as we are. " * (size // 21 // 4)] * 4)
+    next(bpe._round_trips(iter([texts[:1]]), RANKS, public_tokenizers.PATTERN, size))
+    tracemalloc.start()
+    assert sum(map(len, bpe._round_trips(iter([texts]), RANKS, public_tokenizers.PATTERN, size))) == 4
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 60 << 20, peak
+
+
 def test_token_files(spark):
     ship_package(spark)
     rows = [(i * 7 % 2003, f"text number {i} " * (i % 9)) for i in range(2003)] + [(5, "again"), (5, "again"), (None, "no id"), (3000, None)]
@@ -179,6 +191,16 @@ def test_a_worker_lets_go_of_what_another_operator_remembers():
     assert gone() is None
 
 
+def test_a_worker_gives_back_what_was_freed_between_what_it_holds():
+    held = lambda: int(open("/proc/self/statm").read().split()[1]) * resource.getpagesize()
+    spans.worker_state("c")
+    before = held()
+    blocks = [np.ones(60 << 10, np.uint8) for _ in range(2000)]
+    blocks = blocks[::100]
+    spans.worker_state("d")
+    assert held() - before < 60 << 20 and len(blocks) == 20
+
+
 def test_signs_after_a_word_do_not_send_it_to_the_library(monkeypatch):
     encoder, sent, together = token_files._Encoder(WORDS), [], token_files._Encoder._together
     monkeypatch.setattr(token_files._Encoder, "_together", lambda self, chunks: sent.extend(chunks) or together(self, chunks))
