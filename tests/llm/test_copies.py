@@ -373,6 +373,30 @@ def test_windows_of_a_group_are_compared_until_they_are_decided(repeated):
     assert len(found) < 3 * 120 or repeated
 
 
+def test_a_line_just_too_short_for_a_passage_is_not_compared_by_pairs(monkeypatch):
+    """Windows around a line of TOKENS - 1 tokens, some with repeated tokens, two families of passages among them."""
+    rng = np.random.default_rng(17)
+    new = lambda n: rng.integers(0, 1 << 63, n).astype(np.uint64)
+    line, families = new(passages.TOKENS - 1), [new(91) for _ in range(2)]
+    words = []
+    for k in range(120):
+        own = families[k % 2].copy() if k < 8 else new(91)
+        own[30 if k % 3 else 7:][:len(line)] = line
+        if k >= 8 and k % 5 == 0:
+            own[80:88] = own[80]
+        if k < 8:
+            own[80 + k] = new(1)[0]
+        words.append(own)
+    brute = [(x + 1000, y + 1000) for y in range(120) for x in range(y) if passages.common_passages(words[x], words[y])]
+    calls, compare = [], passages.common_passages
+    monkeypatch.setattr(passages, "common_passages", lambda a, b: calls.append(1) or compare(a, b))
+    group = passages._Group(np.arange(120) + 1000, np.full(120, (145 << 16) | (45 << 8) | 45), np.full(120, 100), words)
+    found = list(group.passages())
+    nodes = list(range(1000, 1120))
+    assert classes([(a, b) for a, b, _ in found], nodes) == classes(brute, nodes) and brute
+    assert len(calls) <= 120, len(calls)
+
+
 def test_passages_of_nothing_and_of_repeated_rows(spark):
     long = " ".join(f"w{k}" for k in range(60))
     df = frame(spark, [(2, long), (2, long), (None, long), (5, "short"), (5, "short"), (None, None)], CLASHES)
